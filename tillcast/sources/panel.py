@@ -90,6 +90,20 @@ class SalesPanel:
     def last_day(self) -> Column:
         return self.lines().agg(F.max("date")).scalar()
 
+    def bounds_values(self):
+        """(first, last) ship date as Python dates: one tiny aggregate row, used
+        only where a plan needs literals (the column list of a pivot)."""
+        if getattr(self, "_bounds", None) is None:
+            r = self.lines().agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+            self._bounds = (r["lo"], r["hi"])
+        return self._bounds
+
+    def test_labels(self) -> list[str]:
+        """``d_N`` labels of the held-out days, in order."""
+        lo, hi = self.bounds_values()
+        n_hi = (hi - lo).days + 1
+        return [f"d_{n}" for n in range(n_hi - self.horizon + 1, n_hi + 1)]
+
     def train_end(self) -> Column:
         return F.date_sub(self.last_day(), self.horizon)
 
