@@ -46,19 +46,46 @@ def rmse_per_day_mean(aligned: DataFrame, date="date") -> DataFrame:
     return per_day.groupBy("model").agg(F.avg("rmse_day").alias("rmse_per_day"), F.count("*").alias("n_days"))
 
 
+def mape_parts() -> list[Column]:
+    """MAPE = mean(|e| / max(|y|, eps)) kept as two sums.
+
+    On rows with y = 0 the term is |e| / eps = |e| * 2^52, so that part is
+    kept as a plain sum of |e| and scaled once at the end (exact, since eps
+    is a power of two); rows with y != 0 are summed apart. Rounding each
+    partial sum to 6 places before combining makes the result independent of
+    summation order across engines.
+    """
+    e, y = F.abs(_err()), F.abs(F.col("y"))
+    zero = y < F.lit(EPS)
+    return [F.sum(F.when(zero, e).otherwise(F.lit(0.0))).alias("_mape_big"),
+            F.sum(F.when(~zero, e / y).otherwise(F.lit(0.0))).alias("_mape_small"),
+            F.count("*").alias("_mape_n")]
+
+
+def mape_value() -> Column:
+    big, small, n = F.round("_mape_big", 6), F.round("_mape_small", 6), F.col("_mape_n")
+    return big * F.lit(1.0 / EPS) / n + small / n
+
+
+def poisson_deviance() -> Column:
+    """Mean Poisson deviance; undefined (NULL) if any prediction is not > 0."""
+    y, p = F.col("y"), F.col("yhat")
+    dev = 2 * (F.when(y > 0, y * F.log(F.try_divide(y, p))).otherwise(F.lit(0.0)) - y + p)
+    return F.when(F.count_if(p <= 0) > 0, F.lit(None).cast("double")).otherwise(F.avg(dev))
+
+
 def pooled_errors(aligned: DataFrame) -> DataFrame:
     """Pooled MAE, MSE, RMSE, MAPE (floored denominator) and Poisson deviance (M4-M6)."""
     e = _err()
-    y, p = F.col("y"), F.col("yhat")
-    dev = 2 * (F.when(y > 0, y * F.log(y / p)).otherwise(F.lit(0.0)) - y + p)
-    return aligned.groupBy("model").agg(
+    out = aligned.groupBy("model").agg(
         F.avg(F.abs(e)).alias("mae"),
         F.avg(F.pow(e, 2)).alias("mse"),
         F.sqrt(F.avg(F.pow(e, 2))).alias("rmse_pooled"),
-        F.avg(F.abs(e) / F.greatest(F.abs(y), F.lit(EPS))).alias("mape"),
-        F.avg(dev).alias("poisson_deviance"),
+        poisson_deviance().alias("poisson_deviance"),
         F.count("*").alias("n"),
+        *mape_parts(),
     )
+    return out.withColumn("mape", mape_value()).drop("_mape_big", "_mape_small", "_mape_n")
 
 
 def negative_forecasts(forecast: DataFrame, key="item_id") -> DataFrame:

@@ -54,13 +54,19 @@ def fc_drift(spark, sf_dir):
     return f.withColumn("mean", F.round("mean", 6))
 
 
-SNAIVE_CTES = ",\n".join([
-    _LAST,
-    """snaive AS (
+_SNAIVE = """snaive AS (
   SELECT g.item_id, g.date, 'snaive' AS model, t.sales_amount AS mean
   FROM (SELECT item_id, last_date, h, CAST(last_date + h AS DATE) AS date FROM last, (SELECT CAST(range AS INTEGER) AS h FROM range(1, 29)) r) g
-  JOIN train t ON t.item_id = g.item_id AND t.date = CAST(g.last_date - 6 + CAST((g.h - 1) % 7 AS INTEGER) AS DATE))""",
-])
+  JOIN train t ON t.item_id = g.item_id AND t.date = CAST(g.last_date - 6 + CAST((g.h - 1) % 7 AS INTEGER) AS DATE))"""
+
+SNAIVE_CTES = ",\n".join([_LAST, _SNAIVE])
+
+FAMILY_CTES = ",\n".join([_LAST, _FIRST_LAST, _GRID, _SNAIVE, """family AS (
+  SELECT item_id, date, 'mean' AS model, y_mean AS mean FROM grid
+  UNION ALL SELECT item_id, date, 'naive', y_last FROM grid
+  UNION ALL SELECT item_id, date, 'drift', y_last + h * CASE WHEN n > 1 THEN (y_last - y_first) / (n - 1) ELSE 0 END FROM grid
+  UNION ALL SELECT * FROM snaive)""", """aligned AS (
+  SELECT f.item_id, f.date, f.model, t.sales_amount AS y, f.mean AS yhat FROM family f JOIN test t USING (item_id, date))"""])
 
 
 @query("fc_snaive", with_panel("SELECT * FROM snaive", SNAIVE_CTES))
