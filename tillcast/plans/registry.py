@@ -36,6 +36,7 @@ def load_all() -> None:
         q_forecast,
         q_joins,
         q_ml,
+        q_models,
         q_reshape,
         q_score,
         q_sources,
