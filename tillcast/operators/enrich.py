@@ -24,6 +24,29 @@ def with_price(panel: DataFrame, prices: DataFrame, key: str = "item_id", week:
     return panel.join(prices.select(key, week, "sell_price"), [key, week], "left")
 
 
+def with_price_by_item(panel: DataFrame, prices: DataFrame, key: str = "item_id", week: str = "wm_yr_wk",
+                       date: str = "date") -> DataFrame:
+    """Weekly price looked up without a join (J4, co-partitioned form).
+
+    Price rows are unioned into the panel, the union is hash-partitioned by
+    item once, and a window over (item, week) spreads the week's price to
+    its days. The same exchange by item then serves every later per-item
+    window (lags, percent changes, first dates), so the panel is shuffled
+    once instead of once for an (item, week) join and again for the
+    windows. Rows per item are bounded by the calendar, so hashing on item
+    alone cannot create a hot partition.
+
+    The partition count is explicit (the session's shuffle partitions) so AQE
+    keeps it as is and a checkpoint of the result still reports the hash
+    partitioning to later stages.
+    """
+    n = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    p = prices.select(key, week, F.col("sell_price").alias("_price"))
+    u = panel.withColumn("_price", F.lit(None).cast("double")).unionByName(p, allowMissingColumns=True)
+    u = u.repartition(n, key).withColumn("sell_price", F.max("_price").over(Window.partitionBy(key, week)))
+    return u.filter(F.col(date).isNotNull()).drop("_price")
+
+
 def first_date_flag(panel: DataFrame, cond, key: str = "item_id", date: str = "date",
                     out: str = "week_added") -> DataFrame:
     """1 on the first date where ``cond`` holds for the item, else 0.

@@ -13,8 +13,9 @@ and ``part`` (SURVEY §7.3):
 * calendar: every day from the first ship date to 28 days past the last,
   with retail week ids, rule-made events and a SNAP flag.
 
-The date bounds are scalar subqueries over ``lineitem`` (evaluated once,
-inlined as literals), so no plan joins against a one-row frame.
+The date bounds are read once per panel (one aggregate row over the ship
+date column) and used as literals, so no later plan re-scans the facts for
+them and none joins against a one-row frame.
 """
 
 from __future__ import annotations
@@ -83,12 +84,12 @@ class SalesPanel:
         return (self.part_items().select("item_id").distinct()
                 .withColumn("id", F.concat("item_id", F.lit(ID_SUFFIX))))
 
-    # -- date bounds as scalar subqueries ----------------------------------
+    # -- date bounds, read once and used as literals -------------------------
     def first_day(self) -> Column:
-        return self.lines().agg(F.min("date")).scalar()
+        return F.lit(self.bounds_values()[0])
 
     def last_day(self) -> Column:
-        return self.lines().agg(F.max("date")).scalar()
+        return F.lit(self.bounds_values()[1])
 
     def bounds_values(self):
         """(first, last) ship date as Python dates: one tiny aggregate row, used
@@ -157,11 +158,11 @@ class SalesPanel:
 
     def calendar(self) -> DataFrame:
         """One row per day; bounded by the date range, never by the fact count."""
-        span = self.lines().agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-        days = span.select(
-            F.col("lo"),
-            F.explode(F.sequence("lo", F.date_add("hi", CALENDAR_EXTRA_DAYS))).alias("date"))
-        return calendar_columns(days, F.col("lo")).drop("lo")
+        lo, hi = self.bounds_values()
+        n_days = (hi - lo).days + 1 + CALENDAR_EXTRA_DAYS
+        days = self.spark.range(0, n_days, numPartitions=1).select(
+            F.date_add(F.lit(lo), F.col("id").cast("int")).alias("date"))
+        return calendar_columns(days, F.lit(lo))
 
 
 def event_columns(d: Column) -> list[Column]:
