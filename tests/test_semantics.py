@@ -198,3 +198,13 @@ def test_acf_matches_numpy(spark):
     want = [np.sum(e[: len(e) - k] * e[k:]) / np.sum(e * e) for k in range(6)]
     assert np.allclose(got.acf.to_numpy(), want)
     assert got.band[1] == pytest.approx(1.96 / math.sqrt(80))
+
+
+def test_ets_grouped_matches_jvm_fold(spark):
+    rng = np.random.default_rng(11)
+    t = np.arange(70)
+    vals = list((5 + 0.05 * t + 2 * np.sin(2 * np.pi * t / 7) + rng.normal(size=70)).round(3))
+    tr = _series(spark, vals)
+    jvm = [r.mean for r in smoothing.fc_ets(tr, h=10).orderBy("date").collect()]
+    grouped = [r.mean for r in smoothing.fc_ets_grouped(tr, h=10).orderBy("date").collect()]
+    assert np.allclose(jvm, grouped)

@@ -77,6 +77,7 @@ def auto_histogram(df: DataFrame, x: str) -> DataFrame:
     from one aggregate (a scalar subquery), then a bucket id per row and a
     count per bucket.
     """
+    df = df.checkpoint()  # a small aggregate; the statistics and the counts both read it
     v = F.col(x).cast("double")
     q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.75)))
     stats = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.count(v).alias("n"),
@@ -100,11 +101,13 @@ def acf(series: DataFrame, t: str, y: str, max_lag: int) -> DataFrame:
 
     Pairs (t, t + k) come from an ``explode`` of lags on one side joined to
     the series on ``t + k``: linear in n x K, never all pairs. The series is
-    one aggregated row per period (a resampled total), so the final window
-    over the K+1 lag rows is tiny.
+    one aggregated row per period (a resampled total), checkpointed once so
+    the statistics do not re-derive it, and the final window over the K+1 lag
+    rows is tiny.
     """
-    mean = series.agg(F.avg(y)).scalar()
-    n = series.agg(F.count(y)).scalar()
+    series = series.checkpoint()  # one row per period; read by the statistics and the pairs
+    st = series.agg(F.struct(F.avg(y).alias("m"), F.count(y).alias("n"))).scalar()
+    mean, n = st["m"], st["n"]
     dev = series.select(F.col(t).alias("t"), (F.col(y) - mean).alias("e"))
     lagged = dev.select("t", "e", F.explode(F.sequence(F.lit(0), F.lit(max_lag))).alias("k"))
     pairs = lagged.join(dev.select(F.col("t").alias("t2"), F.col("e").alias("e2")),

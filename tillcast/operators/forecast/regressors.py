@@ -27,18 +27,24 @@ def calendar_regressors(calendar: DataFrame) -> DataFrame:
 
 
 def train_regressors(sales: DataFrame, calendar: DataFrame, prices: DataFrame, train_end: Column,
-                     key: str = "item_id") -> DataFrame:
+                     key: str = "item_id", materialize: bool = True) -> DataFrame:
     """Training table: y plus all regressors; price forward-filled per item,
-    0 before the item's first price."""
+    0 before the item's first price.
+
+    The price lookup, forward fill and lag share one exchange by item. With
+    ``materialize`` the table is checkpointed into the shared folder: model
+    fitting reads it three times (Gram sums, residuals, future rows), and
+    none of those re-derives the panel from the facts.
+    """
     cal = calendar_regressors(calendar)
     weeks = calendar.select("date", "wm_yr_wk")
-    panel = (sales.filter(F.col("date") <= train_end)
-             .join(F.broadcast(weeks), "date")
-             .join(prices.select(key, "wm_yr_wk", "sell_price"), [key, "wm_yr_wk"], "left"))
+    panel = sales.filter(F.col("date") <= train_end).join(F.broadcast(weeks), "date")
+    panel = enrich.with_price_by_item(panel, prices.select(key, "wm_yr_wk", "sell_price"), key)
     panel = panel.withColumn("sell_price", F.coalesce(features.forward_fill("sell_price", key), F.lit(0.0)))
     panel = panel.withColumn("sell_price_lag_7", features.lag_first_filled("sell_price", 7, key))
-    return panel.join(F.broadcast(cal), "date").select(
+    out = panel.join(F.broadcast(cal), "date").select(
         key, "date", F.col("sales_amount").alias("y"), *BASE_X, *LAG_X)
+    return out.checkpoint() if materialize else out
 
 
 def future_regressors(train_reg: DataFrame, calendar: DataFrame, horizon: int = 28,

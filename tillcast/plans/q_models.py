@@ -158,4 +158,4 @@ def fc_ses(spark, sf_dir):
 
 @query("fc_holt_winters")
 def fc_holt_winters(spark, sf_dir):
-    return smoothing.fc_ets(SalesPanel(spark, sf_dir).train())
+    return smoothing.fc_ets_grouped(SalesPanel(spark, sf_dir).train())
