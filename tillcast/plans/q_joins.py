@@ -114,13 +114,20 @@ def yearago_snap(spark, sf_dir):
 
 
 @query("price_to_days", with_panel("""
-SELECT c.date, c.wm_yr_wk, round(m.mean_price, 6) AS mean_price
-FROM calendar c LEFT JOIN (SELECT wm_yr_wk, avg(sell_price) AS mean_price FROM prices GROUP BY wm_yr_wk) m USING (wm_yr_wk)"""))
+SELECT c.date, c.wm_yr_wk, m.mean_price
+FROM calendar c LEFT JOIN (
+  SELECT wm_yr_wk, CAST(sum(CAST(round(sell_price * 100) AS BIGINT)) AS DOUBLE) / (count(*) * CAST(100 AS DOUBLE)) AS mean_price
+  FROM prices GROUP BY wm_yr_wk) m USING (wm_yr_wk)"""))
 def price_to_days(spark, sf_dir):
+    """Weekly mean price over items fanned out to the days of the week.
+
+    Prices are whole cents, so the mean is an integer cent sum divided once:
+    exact in any summation order."""
     p = SalesPanel(spark, sf_dir)
-    mean_price = p.prices().groupBy("wm_yr_wk").agg(F.avg("sell_price").alias("mean_price"))
-    out = p.calendar().select("date", "wm_yr_wk").join(mean_price, "wm_yr_wk", "left")
-    return out.withColumn("mean_price", F.round("mean_price", 6))
+    cents = F.round(F.col("sell_price") * 100).cast("bigint")
+    mean_price = p.prices().groupBy("wm_yr_wk").agg(
+        (F.sum(cents).cast("double") / (F.count("*") * F.lit(100.0))).alias("mean_price"))
+    return p.calendar().select("date", "wm_yr_wk").join(mean_price, "wm_yr_wk", "left")
 
 
 WEEKLY_CAL_SQL = """
