@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.functions import dates as D
+from tillcast.session import reliable_checkpoint
 
 QUARTILES = [0.25, 0.5, 0.75]
 Z95 = 1.96
@@ -77,7 +78,7 @@ def auto_histogram(df: DataFrame, x: str) -> DataFrame:
     from one aggregate (a scalar subquery), then a bucket id per row and a
     count per bucket.
     """
-    df = df.checkpoint()  # a small aggregate; the statistics and the counts both read it
+    df = reliable_checkpoint(df)  # a small aggregate; the statistics and the counts both read it
     v = F.col(x).cast("double")
     q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.75)))
     stats = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.count(v).alias("n"),
@@ -105,7 +106,7 @@ def acf(series: DataFrame, t: str, y: str, max_lag: int) -> DataFrame:
     the statistics do not re-derive it, and the final window over the K+1 lag
     rows is tiny.
     """
-    series = series.checkpoint()  # one row per period; read by the statistics and the pairs
+    series = reliable_checkpoint(series)  # one row per period; read by the statistics and the pairs
     st = series.agg(F.struct(F.avg(y).alias("m"), F.count(y).alias("n"))).scalar()
     mean, n = st["m"], st["n"]
     dev = series.select(F.col(t).alias("t"), (F.col(y) - mean).alias("e"))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.functions import dates as D
+from tillcast.session import reliable_checkpoint
 
 # Fixed values of the study's fills and bands.
 NO_EVENT = "No event"
@@ -169,7 +170,7 @@ def build_features(sales: DataFrame, calendar: DataFrame, prices: DataFrame, tra
     panel = panel.withColumn("week_added", F.coalesce((F.col(date) == first_priced).cast("int"), F.lit(0)))
     panel = fill_defaults(panel)
     if materialize == "checkpoint":
-        panel = panel.checkpoint()
+        panel = reliable_checkpoint(panel)
     elif materialize == "persist":
         panel = panel.persist()
     edges = price_edges(panel.filter(in_train)).scalar()

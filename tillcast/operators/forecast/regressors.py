@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.operators import enrich, features
+from tillcast.session import reliable_checkpoint
 
 BASE_X = ["sell_price", "snap_TX", "wday", "month", "day_of_month", "event"]
 LAG_X = ["sell_price_lag_7", "event_lag1", "event_lead1", "event_lead2", "event_lead3"]
@@ -44,7 +45,7 @@ def train_regressors(sales: DataFrame, calendar: DataFrame, prices: DataFrame, t
     panel = panel.withColumn("sell_price_lag_7", features.lag_first_filled("sell_price", 7, key))
     out = panel.join(F.broadcast(cal), "date").select(
         key, "date", F.col("sales_amount").alias("y"), *BASE_X, *LAG_X)
-    return out.checkpoint() if materialize else out
+    return reliable_checkpoint(out) if materialize else out
 
 
 def future_regressors(train_reg: DataFrame, calendar: DataFrame, horizon: int = 28,

@@ -18,6 +18,8 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillcast.session import reliable_checkpoint
+
 # Fixed value: floor for a leaf's label sum before the log.
 LEAF_FLOOR = 1e-3
 
@@ -65,7 +67,7 @@ def fit(train: DataFrame, label: str, features: str = "features", rounds: int =
         m = F.create_map(*[x for k, v in vals.items() for x in (F.lit(float(k)), F.lit(float(v)))])
         df = t.select(features, label, (F.col("F") + F.lit(lr) * m[F.col("_leaf")]).alias("F"))
         if (r + 1) % checkpoint_every == 0:
-            df = df.checkpoint()
+            df = reliable_checkpoint(df)
         model.trees.append(tree)
         model.leaves.append(vals)
     return model

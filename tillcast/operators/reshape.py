@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillcast.session import reliable_checkpoint
+
 # Fixed value: an id is <item>_<loc1>_<loc2>_<type>, split from the right.
 ID_PATTERN = r"^(.*)_([^_]+)_([^_]+)_([^_]+)$"
 
@@ -70,7 +72,7 @@ def dense_index(df: DataFrame, order_col: str, out_col: str = "num") -> DataFram
     The sorted keys are checkpointed so both passes see the same partitions.
     """
     keys = df.select(order_col).distinct().orderBy(order_col)
-    keys = keys.withColumn("_pid", F.spark_partition_id()).checkpoint()
+    keys = reliable_checkpoint(keys.withColumn("_pid", F.spark_partition_id()))
     counts = {r["_pid"]: r["n"] for r in keys.groupBy("_pid").agg(F.count("*").alias("n")).collect()}
     offsets, run = {}, 0
     for pid in sorted(counts):

@@ -53,3 +53,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint()`` (eager, reliable) into the session's shared folder.
+
+    Works with any session: the checkpoint folder is taken from
+    ``spark.checkpoint.dir`` and only created when the session has none.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
