@@ -32,31 +32,33 @@ def test_date_filter_and_columns_reach_the_scan(spark):
     assert "l_extendedprice" not in scan and "l_orderkey" not in scan
 
 
-def test_feature_windows_share_one_exchange_by_item(spark):
-    p = SalesPanel(spark, SF_SMALL)
-    ft = features.build_features(p.sales(), p.calendar(), p.prices(), p.train_end(), materialize=None)
-    main = formatted(ft).split("===== Subqueries =====")[0]
-    # price lookup and every lag / percent-change / first-date window: one exchange by item;
-    # the other one by item alone is the distinct item list of the zero grid
-    assert len(re.findall(r"Arguments: hashpartitioning\(item_id#\d+, \d+\)", main)) == 2, main
-    # the only (item, week) exchange is the weekly price aggregation itself; no join shuffles the panel by week
-    assert len(re.findall(r"Arguments: hashpartitioning\(item_id#\d+, wm_yr_wk#\d+, \d+\)", main)) == 1
-    assert "SortMergeJoin" not in main
-    assert "BroadcastExchange" in main   # the calendar is broadcast
-
-
-def test_materialized_features_read_facts_once(spark):
+def test_dense_panel_never_shuffled_in_feature_pipeline(spark):
     p = SalesPanel(spark, SF_SMALL)
     ft = features.build_features(p.sales(), p.calendar(), p.prices(), p.train_end())
     txt = formatted(ft)
-    # after the checkpoint, neither the windows nor the price-band edges scan lineitem again
-    assert "lineitem" not in txt
-    assert len(re.findall(r"Arguments: hashpartitioning\(item_id#\d+, \d+\)", txt.split("===== Subqueries =====")[0])) == 1
+    main = txt.split("===== Subqueries =====")[0]
+    # every exchange hashes by item alone: the distinct item list (read from part) and the
+    # sparse daily rows (explicit repartitions); no aggregation, join or window of the
+    # dense panel adds one: the dense panel never moves
+    kinds = re.findall(r"Arguments: hashpartitioning\(([^)]*)\), (\w+)", main)
+    assert kinds and all(k.startswith("item_id#") and k.count("#") == 1 for k, _ in kinds), kinds
+    assert [t for _, t in kinds].count("ENSURE_REQUIREMENTS") == 1, kinds
+    assert "SortMergeJoin" not in main and "BroadcastExchange" in main
+    assert "lineitem" not in txt     # facts were read once, into the panel's daily checkpoint
+
+
+def test_checkpointed_features_need_one_exchange(spark):
+    p = SalesPanel(spark, SF_SMALL)
+    ft = features.build_features(p.sales(), p.calendar(), p.prices(), p.train_end(), materialize="checkpoint")
+    main = formatted(ft).split("===== Subqueries =====")[0]
+    assert len(re.findall(r"Arguments: hashpartitioning\(item_id#\d+, \d+\)", main)) == 1
 
 
 def test_panel_densify_uses_no_join(spark):
     txt = formatted(SalesPanel(spark, SF_SMALL).sales())
     assert "Generate" in txt
+    # one required exchange: the distinct item list; the merge aggregation reuses the item partitioning
+    assert txt.count("ENSURE_REQUIREMENTS") == 1, txt
     assert "SortMergeJoin" not in txt and "CartesianProduct" not in txt and "NestedLoopJoin" not in txt
 
 

@@ -36,12 +36,13 @@ def with_price_by_item(panel: DataFrame, prices: DataFrame, key: str = "item_id"
     windows. Rows per item are bounded by the calendar, so hashing on item
     alone cannot create a hot partition.
 
-    The partition count is explicit (the session's shuffle partitions) so AQE
-    keeps it as is and a checkpoint of the result still reports the hash
-    partitioning to later stages.
+    The partition count is explicit (the session's shuffle partitions): when
+    panel and prices already come hash-partitioned by item that way (as the
+    panel source produces them), Spark drops both repartitions and the lookup
+    moves no data at all.
     """
     n = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    p = prices.select(key, week, F.col("sell_price").alias("_price"))
+    p = prices.select(key, week, F.col("sell_price").alias("_price")).repartition(n, key)
     u = panel.withColumn("_price", F.lit(None).cast("double")).unionByName(p, allowMissingColumns=True)
     u = u.repartition(n, key).withColumn("sell_price", F.max("_price").over(Window.partitionBy(key, week)))
     return u.filter(F.col(date).isNotNull()).drop("_price")

@@ -148,17 +148,20 @@ def date_markers(df: DataFrame, date: str = "date") -> DataFrame:
 
 def build_features(sales: DataFrame, calendar: DataFrame, prices: DataFrame, train_end: Column,
                    key: str = "item_id", date: str = "date", strict_bands: bool = True,
-                   origin_safe: bool = False, materialize: str | None = "checkpoint") -> DataFrame:
+                   origin_safe: bool = False, materialize: str | None = None) -> DataFrame:
     """The feature table of pipeline A.
 
-    Plan: facts are aggregated to the daily panel (the only shuffle of raw
-    facts, after map-side combine); the calendar is broadcast (one row per
-    day); prices join by co-partitioning on item, and that single exchange
-    by item serves every later window. With ``materialize`` the enriched
-    panel is checkpointed into the session's shared checkpoint folder: the
-    price-band edges then read it instead of re-deriving the panel from the
-    facts, lineage is cut before the window stages, and the checkpoint keeps
-    its hash partitioning so the windows add no shuffle.
+    Plan with the panel source of ``tillcast.sources.panel``: the facts were
+    read once into a sparse daily checkpoint; the dense panel is generated
+    inside item partitions, the calendar is broadcast (one row per day), the
+    weekly price is looked up by co-partitioning on item, and every window
+    (first price, lag-7, four percent changes) reuses that partitioning, so
+    the dense panel never crosses the network. The price-band edges are a
+    scalar subquery over the same plan (recomputed from the sparse
+    checkpoint, CPU only). ``materialize="checkpoint"`` instead writes the
+    enriched panel to the shared checkpoint folder first (edges read it; one
+    panel shuffle follows, since a checkpoint forgets its partitioning);
+    ``"persist"`` caches it.
     """
     from tillcast.operators import enrich
 

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.functions import dates as D
+from tillcast.session import reliable_checkpoint
 
 # Fixed values of the panel definition.
 STORE_ID = "TX_3"
@@ -92,10 +93,10 @@ class SalesPanel:
         return F.lit(self.bounds_values()[1])
 
     def bounds_values(self):
-        """(first, last) ship date as Python dates: one tiny aggregate row, used
-        only where a plan needs literals (the column list of a pivot)."""
+        """(first, last) sale date as Python dates, read from the daily
+        checkpoint (one aggregate row), so no plan re-scans the facts."""
         if getattr(self, "_bounds", None) is None:
-            r = self.lines().agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+            r = self.daily().agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
             self._bounds = (r["lo"], r["hi"])
         return self._bounds
 
@@ -118,23 +119,41 @@ class SalesPanel:
             "item_id", "date", "qty", "cents")
 
     def daily(self) -> DataFrame:
-        """Sparse daily totals per item (partial aggregation before the shuffle)."""
-        return self.facts().groupBy("item_id", "date").agg(
-            F.sum("qty").alias("qty"), F.sum("cents").alias("cents"),
-            F.sum(F.col("qty").cast("bigint")).alias("units"))
+        """Sparse daily totals per item: the only pass over the facts.
+
+        ``groupBy(item, date)`` with map-side partial aggregation spreads even
+        a hot item over its days; the result (at most one row per item-day
+        with sales) is checkpointed into the shared folder once per panel, so
+        sales, prices, bounds and every query built on them read it instead
+        of the facts, and a lost executor never re-reads ``lineitem``.
+        """
+        if getattr(self, "_daily", None) is None:
+            d = self.facts().groupBy("item_id", "date").agg(
+                F.sum("qty").alias("qty"), F.sum("cents").alias("cents"),
+                F.sum(F.col("qty").cast("bigint")).alias("units"))
+            self._daily = reliable_checkpoint(d)
+        return self._daily
+
+    def _by_item(self, df: DataFrame) -> DataFrame:
+        """Hash-partition by item with the session's partition count; Spark
+        drops the shuffle when the input is already partitioned that way."""
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return df.repartition(n, "item_id")
 
     def sales(self) -> DataFrame:
         """Dense long sales: item_id, date, sales_amount (0 on days without sales).
 
-        The zero grid is generated per item by ``explode(sequence(...))`` and
-        merged with the facts in the same aggregation, so densifying costs no
-        join and one shuffle of pre-aggregated rows.
+        Only the sparse daily rows move (hash-partitioned by item); the zero
+        grid is generated inside each item's partition with
+        ``explode(sequence(...))`` and merged by an aggregation that needs no
+        further shuffle. The dense panel is never shuffled, and it comes out
+        hash-partitioned by item, which every later per-item window reuses.
         """
-        grid = self.items().select(
+        grid = self._by_item(self.items().select("item_id")).select(
             "item_id",
             F.explode(F.sequence(self.first_day(), self.last_day())).alias("date"),
             F.lit(0.0).alias("qty"))
-        f = self.facts().select("item_id", "date", "qty")
+        f = self._by_item(self.daily().select("item_id", "date", "qty"))
         return (grid.unionByName(f).groupBy("item_id", "date")
                 .agg(F.sum("qty").alias("sales_amount")))
 
@@ -148,11 +167,12 @@ class SalesPanel:
         """store_id, item_id, wm_yr_wk, sell_price in whole cents.
 
         Weeks without sales have no row, as weeks before an item's
-        introduction have none in the study's price file.
+        introduction have none in the study's price file. Built from the
+        item-partitioned daily rows, so it is partitioned by item as well.
         """
-        f = self.facts().withColumn("wm_yr_wk", D.retail_week("date"))
-        return (f.groupBy("item_id", "wm_yr_wk")
-                .agg(F.sum("cents").alias("c"), F.sum(F.col("qty").cast("bigint")).alias("u"))
+        d = self._by_item(self.daily()).withColumn("wm_yr_wk", D.retail_week("date"))
+        return (d.groupBy("item_id", "wm_yr_wk")
+                .agg(F.sum("cents").alias("c"), F.sum("units").alias("u"))
                 .select(F.lit(STORE_ID).alias("store_id"), "item_id", "wm_yr_wk",
                         (F.floor(F.col("c") / F.col("u")) / F.lit(100.0).cast("double")).alias("sell_price")))
 
