@@ -69,3 +69,14 @@ def test_naive_forecasts_need_no_join_and_one_shuffle(spark):
     txt = formatted(fc)
     assert "NestedLoopJoin" not in txt and "CartesianProduct" not in txt
     assert "HashAggregate" in txt and "partial_" in txt   # map-side combine before the shuffle
+
+
+def test_broadcast_hint_only_below_the_size_cap(spark):
+    from tillcast.session import checked_broadcast
+
+    p = SalesPanel(spark, SF_SMALL)
+    cal = p.calendar()
+    hinted = p.sales().join(checked_broadcast(cal), "date")
+    assert "BroadcastExchange" in formatted(hinted)
+    # the same side over a 1-byte cap is left to the planner: no hint in the logical plan
+    assert "broadcast" not in checked_broadcast(cal, max_bytes=1)._jdf.queryExecution().logical().toString()

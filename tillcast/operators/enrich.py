@@ -3,7 +3,9 @@
 Broadcast hints are given only to sides whose size is bounded by the
 number of calendar days (calendar, date sets, the weekly calendar), never
 to sides that grow with items or facts; those are left to the planner's
-size threshold and AQE's runtime conversion.
+size threshold and AQE's runtime conversion. Even the bounded sides go
+through ``checked_broadcast``, which hints only below a size cap taken from
+the optimizer's estimate.
 """
 
 from __future__ import annotations
@@ -12,11 +14,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.functions import dates as D
+from tillcast.session import checked_broadcast
 
 
 def with_calendar(facts: DataFrame, calendar: DataFrame, on: str = "date", how: str = "inner") -> DataFrame:
     """Facts x calendar on date (J1/J3); the calendar is one row per day."""
-    return facts.join(F.broadcast(calendar), on, how)
+    return facts.join(checked_broadcast(calendar), on, how)
 
 
 def with_price(panel: DataFrame, prices: DataFrame, key: str = "item_id", week: str = "wm_yr_wk") -> DataFrame:
@@ -76,7 +79,7 @@ def calendar_lags_leads(calendar: DataFrame, flag: str, lags=(1, 2, 3), leads=(1
 def day_after(calendar: DataFrame, event_dates: DataFrame, out: str, date: str = "date") -> DataFrame:
     """Flag days that follow a date of ``event_dates`` (P10)."""
     shifted = event_dates.select(F.date_add(F.col(date), 1).alias(date)).distinct().withColumn(out, F.lit(1))
-    return calendar.join(F.broadcast(shifted), date, "left").withColumn(out, F.coalesce(F.col(out), F.lit(0)))
+    return calendar.join(checked_broadcast(shifted), date, "left").withColumn(out, F.coalesce(F.col(out), F.lit(0)))
 
 
 def year_ago(grid: DataFrame, calendar: DataFrame, col: str, date: str = "date", out: str | None = None) -> DataFrame:
@@ -88,7 +91,7 @@ def year_ago(grid: DataFrame, calendar: DataFrame, col: str, date: str = "date",
     out = out or f"{col}_year_ago"
     cal = calendar.select(F.col(date).alias("_ago"), F.col(col).alias(out))
     return (grid.withColumn("_ago", F.add_months(F.col(date), -12))
-            .join(F.broadcast(cal), "_ago", "left").drop("_ago"))
+            .join(checked_broadcast(cal), "_ago", "left").drop("_ago"))
 
 
 def period_mean_join(panel: DataFrame, value: str, period: str, key: str = "item_id", date: str = "date",

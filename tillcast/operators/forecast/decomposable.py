@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillcast.operators.forecast import gram
+from tillcast.session import checked_broadcast
 
 # Fixed values of the design.
 YEAR_DAYS = 365.25
@@ -57,7 +58,7 @@ def design(calendar: DataFrame, first_day: Column, train_end: Column) -> DataFra
 def fc_decomposable(train: DataFrame, calendar: DataFrame, first_day: Column, train_end: Column,
                     h: int = 28, key: str = "item_id", y: str = "sales_amount", name: str = "decomposable") -> DataFrame:
     xcols = design_columns()
-    des = F.broadcast(design(calendar, first_day, train_end))
+    des = checked_broadcast(design(calendar, first_day, train_end))
     sums = gram.gram_sums(train.join(des, "date"), key, xcols, y)
     coef = gram.ols(sums, key, len(xcols) + 1, ridge=RIDGE)
     last = train.groupBy(key).agg(F.max("date").alias("last_date"))

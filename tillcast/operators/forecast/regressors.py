@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcast.operators import enrich, features
-from tillcast.session import reliable_checkpoint
+from tillcast.session import checked_broadcast, reliable_checkpoint
 
 BASE_X = ["sell_price", "snap_TX", "wday", "month", "day_of_month", "event"]
 LAG_X = ["sell_price_lag_7", "event_lag1", "event_lead1", "event_lead2", "event_lead3"]
@@ -39,11 +39,11 @@ def train_regressors(sales: DataFrame, calendar: DataFrame, prices: DataFrame, t
     """
     cal = calendar_regressors(calendar)
     weeks = calendar.select("date", "wm_yr_wk")
-    panel = sales.filter(F.col("date") <= train_end).join(F.broadcast(weeks), "date")
+    panel = sales.filter(F.col("date") <= train_end).join(checked_broadcast(weeks), "date")
     panel = enrich.with_price_by_item(panel, prices.select(key, "wm_yr_wk", "sell_price"), key)
     panel = panel.withColumn("sell_price", F.coalesce(features.forward_fill("sell_price", key), F.lit(0.0)))
     panel = panel.withColumn("sell_price_lag_7", features.lag_first_filled("sell_price", 7, key))
-    out = panel.join(F.broadcast(cal), "date").select(
+    out = panel.join(checked_broadcast(cal), "date").select(
         key, "date", F.col("sales_amount").alias("y"), *BASE_X, *LAG_X)
     return reliable_checkpoint(out) if materialize else out
 
@@ -61,6 +61,6 @@ def future_regressors(train_reg: DataFrame, calendar: DataFrame, horizon: int =
     grid = last.select(key, "last_price", "lag_price",
                        F.explode(F.sequence(F.date_add("last_date", 1), F.date_add("last_date", horizon))).alias("date"))
     cal = calendar_regressors(calendar)
-    return grid.join(F.broadcast(cal), "date").select(
+    return grid.join(checked_broadcast(cal), "date").select(
         key, "date", F.col("last_price").alias("sell_price"), "snap_TX", "wday", "month", "day_of_month", "event",
         F.col("lag_price").alias("sell_price_lag_7"), "event_lag1", "event_lead1", "event_lead2", "event_lead3")

@@ -11,6 +11,7 @@ from tillcast.plans.q_forecast import SNAIVE_CTES
 from tillcast.plans.q_reshape import _ENRICHED, enriched, test_wide
 from tillcast.plans.registry import query
 from tillcast.sources.panel import SalesPanel
+from tillcast.session import checked_broadcast
 
 
 @query("join_calendar", with_panel("SELECT * FROM sales JOIN calendar USING (date)"))
@@ -28,7 +29,7 @@ def join_day_label(spark, sf_dir):
     p = SalesPanel(spark, sf_dir)
     long = reshape.melt(test_wide(p), ["id"], prefix="d_", var_name="Day", value_name="sales")
     cal = p.calendar().select("d", "date", "wm_yr_wk", "snap_TX")
-    return long.join(F.broadcast(cal), long["Day"] == cal["d"], "left").drop("d")
+    return long.join(checked_broadcast(cal), long["Day"] == cal["d"], "left").drop("d")
 
 
 @query("join_price", with_panel(
@@ -102,7 +103,7 @@ SELECT * FROM sales s WHERE s.date IN (SELECT date FROM calendar WHERE event_nam
 def semi_dates(spark, sf_dir):
     p = SalesPanel(spark, sf_dir)
     days = p.calendar().filter(F.col("event_name_1").isNotNull()).select("date")
-    return p.sales().join(F.broadcast(days), "date", "left_semi")
+    return p.sales().join(checked_broadcast(days), "date", "left_semi")
 
 
 @query("yearago_snap", with_panel("""
@@ -148,4 +149,4 @@ SELECT p.item_id, p.wm_yr_wk, p.sell_price, w.n_events, w.snap_days FROM prices
                                          WEEKLY_CAL_SQL))
 def price_week_calendar(spark, sf_dir):
     p = SalesPanel(spark, sf_dir)
-    return p.prices().select("item_id", "wm_yr_wk", "sell_price").join(F.broadcast(weekly_cal(p)), "wm_yr_wk")
+    return p.prices().select("item_id", "wm_yr_wk", "sell_price").join(checked_broadcast(weekly_cal(p)), "wm_yr_wk")

@@ -11,6 +11,7 @@ from tillcast.plans.oracle import with_panel
 from tillcast.plans.q_forecast import SNAIVE_CTES
 from tillcast.plans.registry import query
 from tillcast.sources.panel import SalesPanel
+from tillcast.session import checked_broadcast
 
 ITEM_PATTERN = r"^[A-Z]+_[0-9]+"
 
@@ -234,7 +235,7 @@ FROM sales s JOIN calendar c USING (date) WHERE c.event_name_1 IN ('Thanksgiving
 def filter_items(spark, sf_dir):
     p = SalesPanel(spark, sf_dir)
     days = p.calendar().filter(F.col("event_name_1").isin("Thanksgiving", "Christmas")).select("date", "event_name_1")
-    return p.sales().join(F.broadcast(days), "date").select("item_id", "date", "sales_amount", "event_name_1")
+    return p.sales().join(checked_broadcast(days), "date").select("item_id", "date", "sales_amount", "event_name_1")
 
 
 @query("null_patterns", with_panel("""

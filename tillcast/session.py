@@ -63,3 +63,31 @@ def reliable_checkpoint(df):
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+# Upper bound for an explicit broadcast hint; above it the join is left to the
+# planner (sort-merge / shuffled hash) and to AQE's runtime conversion.
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+
+
+def checked_broadcast(df, max_bytes: int | None = None, measure_row_bytes: int | None = None):
+    """``F.broadcast(df)`` only when ``df`` is known to be at most ``max_bytes``
+    (session conf ``tillcast.broadcast.maxBytes``, else 256 MiB); otherwise
+    ``df`` unchanged, so a side that outgrows the bound falls back to a
+    shuffle join instead of overloading the driver and every executor.
+
+    The size is the optimizer's estimate. Where that estimate cannot see a
+    structural bound (a small table aggregated out of a large one), pass
+    ``measure_row_bytes``: the side is then checkpointed into the shared
+    folder, its rows counted (a pass over the checkpoint only), and
+    ``rows * measure_row_bytes`` decides; the join reads the checkpoint.
+    """
+    from pyspark.sql import functions as F
+
+    if max_bytes is None:
+        max_bytes = int(df.sparkSession.conf.get("tillcast.broadcast.maxBytes", str(BROADCAST_MAX_BYTES)))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > max_bytes and measure_row_bytes is not None:
+        df = reliable_checkpoint(df)
+        size = df.count() * measure_row_bytes
+    return F.broadcast(df) if size <= max_bytes else df
