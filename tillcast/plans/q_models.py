@@ -151,7 +151,34 @@ def fc_decomposable(spark, sf_dir):
     return decomposable.fc_decomposable(p.train(), p.calendar(), p.first_day(), p.train_end(), p.horizon)
 
 
-@query("fc_ses")
+def _ses_sql() -> str:
+    """Simple exponential smoothing over the whole training series of every
+    item: the same left fold (level, SSE of one-step errors) per grid alpha
+    as ``smoothing.fit``, the lowest AICc (k = 2) per item, a flat forecast."""
+    alphas = ", ".join(repr(a) for a in smoothing.ALPHAS)
+    return with_panel(f"""
+SELECT item_id, CAST(last_date + step AS DATE) AS date, 'ses' AS model,
+       l + step * 0.0 + 0.0 AS mean
+FROM ses_best, (SELECT CAST(unnest(generate_series(1, 28)) AS INTEGER) AS step)
+""", f"""
+ses_series AS (
+  SELECT item_id, max(date) AS last_date, CAST(count(*) AS DOUBLE) AS n,
+         list(CAST(sales_amount AS DOUBLE) ORDER BY date) AS ys
+  FROM train GROUP BY item_id),
+ses_fit AS (
+  SELECT item_id, last_date, n,
+    list_reduce(ys, lambda acc, v: {{'l': alpha * v + (1 - alpha) * acc.l,
+                                    'sse': acc.sse + (v - acc.l) * (v - acc.l)}},
+                {{'l': ys[1], 'sse': CAST(0.0 AS DOUBLE)}}) AS st
+  FROM ses_series, (SELECT unnest([{alphas}]::DOUBLE[]) AS alpha)),
+ses_best AS (
+  SELECT item_id, last_date,
+    arg_min(st.l, n * ln(greatest(st.sse, 1e-12) / n) + 2 * 2 + 2 * 2 * 3 / (n - 2 - 1)) AS l
+  FROM ses_fit GROUP BY item_id, last_date)
+""")
+
+
+@query("fc_ses", _ses_sql())
 def fc_ses(spark, sf_dir):
     return smoothing.fc_ses(SalesPanel(spark, sf_dir).train())
 
