@@ -20,7 +20,7 @@ from conftest import SF_SMALL  # noqa: E402
 SUBSET = ["fc_snaive", "rmse_per_item_mean", "leaderboard", "mape", "pivot_submission", "melt_sales",
           "feature_table", "join_price", "event_lags", "acf_weekly", "count_histogram", "profile_numeric",
           "future_regressors", "gram_ar", "dynreg_ols", "ts_folds", "group_ts_folds", "surrogate_ids",
-          "weekly_calendar", "yearago_snap", "one_hot_long", "poisson_leaf_values"]
+          "weekly_calendar", "yearago_snap", "one_hot_long", "poisson_leaf_values", "fc_ses"]
 NAMES = sorted(E.oracle_sql()) if os.environ.get("TILLCAST_FULL_ORACLE") else SUBSET
 
 
