@@ -166,6 +166,25 @@ def test_ar_recovers_ar1(spark):
         assert r.far == pytest.approx(10.0, abs=1.0)  # reverts to the mean
 
 
+def test_arima_tracks_moving_average_shocks(spark):
+    # y_t = 10 + e_t + 0.8 e_{t-1}; the last shock is forced to +3, so the best
+    # one-step forecast is 10 + 2.4 and later steps revert to the mean
+    rng = np.random.default_rng(7)
+    rows, theta = [], 0.8
+    for k in range(4):
+        e = rng.normal(size=600)
+        e[-1] = 3.0
+        y = 10 + e + theta * np.concatenate([[0.0], e[:-1]])
+        rows += [(f"s{k}", d, float(v)) for d, v in zip(days(600), y)]
+    df = spark.createDataFrame(rows, "item_id string, date date, sales_amount double")
+    fc = ar.fc_arima(df, h=5).toPandas().sort_values(["item_id", "date"])
+    assert len(fc) == 20 and set(fc.model) == {"arima"}
+    for _, g in fc.groupby("item_id"):
+        m = g["mean"].to_numpy()
+        assert m[0] == pytest.approx(10 + theta * 3.0, abs=0.5)
+        assert m[2] == pytest.approx(10.0, abs=0.5)
+
+
 def test_dense_index_is_consecutive(spark):
     df = spark.createDataFrame([(f"k{i:03d}",) for i in range(50)] * 2, "item_id string").repartition(5)
     out = reshape.dense_index(df, "item_id", "num").orderBy("item_id").collect()

@@ -5,7 +5,14 @@ Lags come from a window per series; one Gram aggregation over
 conditional least squares on a common sample makes each candidate a
 sub-block of the same sums. Each series picks its order (p in 0..P, with or
 without the seasonal lag S) by AICc, then forecasts recursively from its
-last S values. Moving-average terms are not estimated (see README).
+last S values.
+
+``fc_arima`` adds moving-average terms by the Hannan-Rissanen two-stage
+method, still as aggregations: a long autoregression per series (one Gram
+aggregation and a batched solve) gives residuals as a JVM expression; a
+second Gram aggregation over [1, y lags, seasonal lag, residual lags]
+serves every (p, seasonal, q) candidate, chosen by AICc; the forecast
+recursion sets future shocks to zero.
 """
 
 from __future__ import annotations
@@ -86,3 +93,72 @@ def fc_ar(train: DataFrame, key: str = "item_id", date: str = "date", y: str = "
             yield pd.DataFrame(rows, columns=[key, "date", "model", "mean"])
 
     return model_in.mapInPandas(run, schema)
+
+
+def fc_arima(train: DataFrame, key: str = "item_id", date: str = "date", y: str = "sales_amount",
+             p_max: int = 3, q_max: int = 2, season: int = 7, long_order: int = 14, h: int = 28,
+             name: str = "arima") -> DataFrame:
+    """ARMA(p, q) with an optional seasonal AR lag per series (Hannan-Rissanen)."""
+    w = Window.partitionBy(key).orderBy(date)
+    # stage 1: long AR(m) per series from one Gram aggregation; its residuals estimate the shocks
+    m = long_order
+    l1 = [f"_a{i}" for i in range(1, m + 1)]
+    base = train.select(key, date, F.col(y).cast("double").alias("y"),
+                        *[F.lag(y, i).over(w).cast("double").alias(c) for i, c in enumerate(l1, 1)])
+    full = base.filter(F.col(l1[-1]).isNotNull())
+    coef = gram.ols(gram.gram_sums(full, key, l1, "y"), key, m + 1).select(key, F.col("beta").alias("_b"))
+    resid = full.join(coef, key).select(key, date, "y", (F.col("y") - gram.dot("_b", l1)).alias("e"))
+    # stage 2: regress y on its own lags, the seasonal lag and lagged residuals (common sample)
+    ylags = [F.lag("y", i).over(w).alias(f"_l{i}") for i in range(1, p_max + 1)]
+    elags = [F.lag("e", j).over(w).alias(f"_e{j}") for j in range(1, q_max + 1)]
+    lg = resid.select(key, date, "y", "e", *ylags, F.lag("y", season).over(w).alias("_ls"), *elags)
+    xs = [f"_l{i}" for i in range(1, p_max + 1)] + ["_ls"] + [f"_e{j}" for j in range(1, q_max + 1)]
+    sums = gram.gram_sums(lg.filter(F.col("_ls").isNotNull() & F.col(xs[-1]).isNotNull()), key, xs, "y")
+    # last `season` observations and last q residuals per series (bounded per series)
+    keep = max(season, p_max, q_max)
+    wd = Window.partitionBy(key).orderBy(F.col(date).desc())
+    tail = (resid.select(key, date, "y", "e", F.row_number().over(wd).alias("rn"))
+            .filter(F.col("rn") <= keep)
+            .groupBy(key).agg(F.max(date).alias("last_date"),
+                              F.sort_array(F.collect_list(F.struct(date, "y", "e"))).alias("tail")))
+    model_in = sums.join(tail, key)
+    k_full = len(xs) + 1
+    cands = list(itertools.product(range(p_max + 1), (False, True), range(q_max + 1)))
+    schema = T.StructType([model_in.schema[key], T.StructField("date", T.DateType()),
+                           T.StructField("model", T.StringType()), T.StructField("mean", T.DoubleType())])
+
+    def run(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            xtx_all = gram.unpack(np.stack(pdf["xtx"].to_numpy()).astype(float), k_full)
+            xty_all = np.stack(pdf["xty"].to_numpy()).astype(float)
+            rows = []
+            for b in range(len(pdf)):
+                n, yty = int(pdf["n"].iloc[b]), float(pdf["yty"].iloc[b])
+                best, best_beta, best_idx = np.inf, None, None
+                for p, seas, q in cands:
+                    idx = ([0] + list(range(1, p + 1)) + ([p_max + 1] if seas else [])
+                           + list(range(p_max + 2, p_max + 2 + q)))
+                    A = xtx_all[b][np.ix_(idx, idx)]
+                    c = xty_all[b][idx]
+                    beta = np.linalg.pinv(A, rcond=1e-10, hermitian=True) @ c
+                    sse = max(yty - 2 * beta @ c + beta @ A @ beta, 0.0)
+                    score = aicc(sse, n, len(idx) + 1)
+                    if score < best or best_beta is None:
+                        best, best_beta, best_idx = score, beta, idx
+                coefs = np.zeros(k_full)
+                coefs[best_idx] = best_beta
+                hist = [float(r["y"]) for r in pdf["tail"].iloc[b]]
+                shocks = [float(r["e"]) for r in pdf["tail"].iloc[b]]
+                last = pdf["last_date"].iloc[b]
+                for step in range(1, h + 1):
+                    x = ([1.0] + [hist[-i] for i in range(1, p_max + 1)] + [hist[-season]]
+                         + [shocks[-j] for j in range(1, q_max + 1)])
+                    val = float(np.dot(coefs, x))
+                    hist.append(val)
+                    shocks.append(0.0)
+                    rows.append((pdf[key].iloc[b], last + pd.Timedelta(days=step), name, val))
+            yield pd.DataFrame(rows, columns=[key, "date", "model", "mean"])
+
+    return model_in.mapInPandas(run, schema)

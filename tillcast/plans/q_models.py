@@ -101,6 +101,11 @@ def fc_ar(spark, sf_dir):
     return ar.fc_ar(SalesPanel(spark, sf_dir).train())
 
 
+@query("fc_arima")
+def fc_arima(spark, sf_dir):
+    return ar.fc_arima(SalesPanel(spark, sf_dir).train())
+
+
 def _dynreg_query(name, xcols):
     def fn(spark, sf_dir):
         p = SalesPanel(spark, sf_dir)
