@@ -80,3 +80,14 @@ def test_broadcast_hint_only_below_the_size_cap(spark):
     assert "BroadcastExchange" in formatted(hinted)
     # the same side over a 1-byte cap is left to the planner: no hint in the logical plan
     assert "broadcast" not in checked_broadcast(cal, max_bytes=1)._jdf.queryExecution().logical().toString()
+
+
+def test_arima_exchanges_only_by_item(spark):
+    from tillcast.operators.forecast import ar
+
+    txt = formatted(ar.fc_arima(SalesPanel(spark, SF_SMALL).train()))
+    main = txt.split("===== Subqueries =====")[0]
+    # the sparse daily rows, the item list and per-item Gram sums / coefficients: all keyed by item alone
+    keys = re.findall(r"Arguments: hashpartitioning\(([^)]*)\), \w+", main)
+    assert keys and all(k.startswith("item_id#") and k.count("#") == 1 for k in keys), keys
+    assert "CartesianProduct" not in main and "NestedLoopJoin" not in main and "lineitem" not in txt
