@@ -55,6 +55,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per Spark context.
+
+    Python closures name its modules; a zip added by ``addPyFile`` makes them
+    importable in every worker, wherever the driver was started.
+    """
+    import zipfile
+    from pathlib import Path
+
+    sc = spark.sparkContext
+    if getattr(sc, "_tillcast_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="tillcast-ship-")) / "tillcast_package.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f"{package.name}/{f.relative_to(package)}")
+    sc.addPyFile(str(target))
+    sc._tillcast_shipped = True
+
+
 def reliable_checkpoint(df):
     """``df.checkpoint()`` (eager, reliable) into the session's shared folder.
 
