@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillcast.llm import bpe, exact_dedup, jaccard, langid, mixing
+from tillcast.llm import bpe, exact_dedup, html_text, jaccard, langid, mixing, quality, repeats, topk, url_filter
 from tillcast.llm.common import table
 
 
@@ -16,14 +16,20 @@ def _over(name: str, run: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSe
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk_search": _over("embeddings", topk.top_k),
     "op2_exact_dedup": _over("documents", exact_dedup.exact_dedup),
     "op3_bpe": _over("documents", bpe.query),
     "op4_mixing": _over("documents", mixing.query),
+    "op5_html_text": _over("pages", html_text.extract),
+    "op6_repeats": _over("documents", repeats.query),
+    "op7_url_filter": _over("pages", url_filter.judge),
     "op8_ngram_jaccard": _over("documents", jaccard.jaccard_components),
+    "op9_quality": _over("documents", quality.query),
     "op10_language_id": _over("documents", langid.query),
 }
 
 SQL: dict[str, str] = {
+    "op1_topk_search": topk.SQL,
     "op2_exact_dedup": exact_dedup.SQL,
     "op4_mixing": mixing.SQL,
 }
