@@ -2,6 +2,8 @@
 
 import re
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -91,3 +93,42 @@ def test_arima_exchanges_only_by_item(spark):
     keys = re.findall(r"Arguments: hashpartitioning\(([^)]*)\), \w+", main)
     assert keys and all(k.startswith("item_id#") and k.count("#") == 1 for k in keys), keys
     assert "CartesianProduct" not in main and "NestedLoopJoin" not in main and "lineitem" not in txt
+
+
+@pytest.mark.parametrize("name", ["join_price", "fill_defaults", "flag_first_date", "first_dates", "ffill_price", "bfill", "price_lag7",
+                                  "last_price", "nth_from_last", "pct_change_week", "pct_change_month", "join_period"])
+def test_price_queries_move_only_sparse_rows(spark, name):
+    from tillcast.plans.registry import QUERIES, load_all
+
+    load_all()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        txt = formatted(QUERIES[name](spark, SF_SMALL)).split("===== Subqueries =====")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    keys = re.findall(r"Arguments: hashpartitioning\(([^)]*)\), \w+", txt)
+    assert keys and all(k.startswith("item_id#") and k.count("#") == 1 for k in keys), keys
+    assert "SortMergeJoin" not in txt and "ShuffledHashJoin" not in txt
+
+
+def test_snapshot_filter_prunes_folders(spark, tmp_path):
+    import datetime as dt
+
+    from tillcast.sources import files
+
+    df = spark.createDataFrame([(dt.date(2020, m, 15), 2020, m) for m in range(1, 13)], "date date, year int, month int")
+    files.write_parquet(df, str(tmp_path / "snap"))
+    back = files.read_parquet(spark, str(tmp_path / "snap"), after=F.lit(dt.date(2020, 10, 20)))
+    assert "PartitionFilters: [isnotnull(" in formatted(back) and back.count() == 2
+
+
+def test_leaderboard_sums_aligned_rows_once(spark):
+    from tillcast.operators import score
+    from tillcast.operators.forecast import naive
+
+    p = SalesPanel(spark, SF_SMALL)
+    fc = naive.fc_snaive(p.train())
+    txt = formatted(score.leaderboard(fc, p.test(), models=["snaive"]))
+    assert txt.count("\n(") and len(re.findall(r"\(\d+\) Expand\n", txt)) == 1
+    assert len(re.findall(r"\(\d+\) (?:SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin)", txt)) <= 2

@@ -227,3 +227,93 @@ def test_ets_grouped_matches_jvm_fold(spark):
     jvm = [r.mean for r in smoothing.fc_ets(tr, h=10).orderBy("date").collect()]
     grouped = [r.mean for r in smoothing.fc_ets_grouped(tr, h=10).orderBy("date").collect()]
     assert np.allclose(jvm, grouped)
+
+
+def test_leaderboard_scores_absent_forecasts_as_zero(spark):
+    actual = spark.createDataFrame([(k, d, y) for k, y in (("a", 2.0), ("b", 3.0)) for d in days(2)],
+                                   "item_id string, date date, sales_amount double")
+    fc = spark.createDataFrame([("a", d, "m", 2.0) for d in days(2)] + [("a", days(1)[0], "n", None)],
+                               "item_id string, date date, model string, mean double")
+    got = {r.model: r for r in score.leaderboard(fc, actual).collect()}
+    assert got["m"].rmse == pytest.approx(1.5) and got["m"].n_items == 2 and got["m"].n_absent == 2
+    assert got["m"].rmse_per_day == pytest.approx(3 / math.sqrt(2)) and got["m"].rmse_pooled == pytest.approx(3 / math.sqrt(2))
+    assert got["n"].rmse == pytest.approx(2.5) and got["n"].mae == pytest.approx(2.5) and got["n"].n_absent == 4
+    named = {r.model: r for r in score.leaderboard(fc, actual, models=["m", "n", "gone"]).collect()}
+    assert named["gone"].n_absent == 4
+
+
+def test_stream_scores_absent_forecasts_as_zero(spark, tmp_path):
+    from tillcast.streaming import forecast_stream
+
+    actual = spark.createDataFrame([(k, d, y) for k, y in (("a", 2.0), ("b", 3.0)) for d in days(2)],
+                                   "item_id string, date date, sales_amount double")
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "m.csv").write_text("item_id,date,mean\na,2020-01-01,2.0\na,2020-01-02,2.0\n")
+    r = forecast_stream.run_once(spark, str(folder), actual, str(tmp_path / "work")).first()
+    assert (r.n_items, r.n_days, r.n_absent) == (2, 2, 2) and r.rmse == pytest.approx(1.5)
+    assert r.rmse_pooled == pytest.approx(3 / math.sqrt(2)) and r.mae == pytest.approx(1.5)
+
+
+def test_weekly_change_over_the_turn_of_a_year(spark):
+    # retail week ids jump from ...52 to ...01: the week before is the one seven days earlier
+    rows = [("a", D0 + dt.timedelta(days=7 * i), w, p) for i, (w, p) in enumerate([(11151, 1.0), (11152, 2.0), (11201, 4.0), (11202, 4.0)])]
+    df = spark.createDataFrame(rows, "item_id string, date date, wm_yr_wk int, sell_price double")
+    got = {r.wm_yr_wk: r.weekly_pct_change for r in features.pct_changes(df).collect()}
+    assert got == {11151: 0.0, 11152: 100.0, 11201: 100.0, 11202: 0.0}
+
+
+def test_product_age_reaches_the_calendar_end(spark):
+    from conftest import SF_SMALL
+    from tillcast.plans.registry import QUERIES, load_all
+    from tillcast.sources.panel import SalesPanel
+
+    load_all()
+    p = SalesPanel(spark, SF_SMALL)
+    n_days = p.calendar_scan().count()
+    first = {r.item_id: r.d for r in p.train().filter("sales_amount > 0").groupBy("item_id").agg(F.min("date").alias("d")).collect()}
+    lo = p.bounds_values()[0]
+    for r in QUERIES["product_age"](spark, SF_SMALL).collect():
+        assert r.product_age == n_days - ((first[r.item_id] - lo).days + 1)
+
+
+def test_calendar_scan_equals_calendar(spark):
+    from conftest import SF_SMALL
+    from tillcast.sources.panel import SalesPanel
+
+    p = SalesPanel(spark, SF_SMALL)
+    assert sorted(map(str, p.calendar_scan().collect())) == sorted(map(str, p.calendar().collect()))
+
+
+def test_describe_counts_values_first(spark):
+    from tillcast.operators import explore
+
+    df = spark.createDataFrame([(1.0,), (2.0,), (2.0,), (4.0,), (None,)], "x double")
+    r = explore.describe(df, ["x"]).first()
+    assert (r["count"], r["min"], r["q50"], r["max"]) == (4, 1.0, 2.0, 4.0)
+    assert r["mean"] == pytest.approx(2.25) and r["std"] == pytest.approx(np.std([1, 2, 2, 4], ddof=1))
+
+
+def test_group_folds_number_all_groups(spark):
+    df = spark.createDataFrame([(f"g{i:02d}", d) for i in range(13) for d in days(3, D0 + dt.timedelta(days=i))], "g string, date date")
+    f = {r.g: r.fold for r in folds.group_folds(df, "g", "date", 5).collect()}
+    assert [f[f"g{i:02d}"] for i in range(13)] == [0] * 3 + [1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
+
+
+def test_all_calendar_events_are_regressors(spark):
+    from tillcast.operators.forecast import decomposable
+
+    cal = spark.createDataFrame([(d, "Fair" if i == 1 else None, "Market" if i == 2 else None) for i, d in enumerate(days(4))],
+                                "date date, event_name_1 string, event_name_2 string")
+    assert decomposable.holiday_names(cal) == ["Fair", "Market"]
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    from tillcast.session import checkpoint_dir
+
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d),
+                           sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(ValueError):
+        checkpoint_dir(fake)

@@ -96,8 +96,12 @@ def year_ago(grid: DataFrame, calendar: DataFrame, col: str, date: str = "date",
 
 def period_mean_join(panel: DataFrame, value: str, period: str, key: str = "item_id", date: str = "date",
                      out: str | None = None) -> DataFrame:
-    """Mean of ``value`` per (item, period) joined back on (item, period start)."""
+    """Mean of ``value`` per (item, period) on every row of the period.
+
+    A window in place of group and join back: it reuses the panel's
+    partitioning by item, so nothing moves.
+    """
     out = out or f"{period}_mean_{value}"
-    per = (panel.withColumn("_p", D.period_start(date, period))
-           .groupBy(key, "_p").agg(F.avg(value).alias(out)))
-    return panel.withColumn("_p", D.period_start(date, period)).join(per, [key, "_p"]).drop("_p")
+    n = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_item = panel.repartition(n, key).withColumn("_p", D.period_start(date, period))
+    return by_item.withColumn(out, F.avg(value).over(Window.partitionBy(key, "_p"))).drop("_p")

@@ -35,16 +35,20 @@ def null_profile(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """count, mean, std, min, exact interpolated quartiles, max per column.
 
-    Exact ``percentile`` (not ``summary()``'s approximate one); its buffer
-    holds value counts, bounded by the number of distinct values.
+    Exact ``percentile`` (not ``summary()``'s approximate one). Rows are
+    counted by value first, in parallel; every statistic then comes from the
+    (value, count) rows.
     """
     parts = []
     for c in cols:
-        x = F.col(c)
-        q = F.percentile(x, F.array(*[F.lit(p) for p in QUARTILES]))
-        parts.append(df.agg(
-            F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
-            F.stddev_samp(x).alias("std"), F.min(x).cast("double").alias("min"),
+        x, w = F.col(c), F.col("_n")
+        q = F.percentile(x, F.array(*[F.lit(p) for p in QUARTILES]), w)
+        n, mean = F.sum(w), F.sum(x * w) / F.sum(w)
+        counts = df.where(x.isNotNull()).groupBy(c).agg(F.count("*").alias("_n"))
+        spread = F.sqrt(F.greatest(F.sum(x * x * w) - F.sum(x * w) * mean, F.lit(0.0)) / F.nullif(n - 1, F.lit(0)))
+        parts.append(counts.agg(
+            F.lit(c).alias("column"), F.coalesce(n, F.lit(0)).alias("count"), mean.alias("mean"),
+            spread.alias("std"), F.min(x).cast("double").alias("min"),
             q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), F.max(x).cast("double").alias("max")))
     out = parts[0]
     for p in parts[1:]:

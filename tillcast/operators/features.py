@@ -44,8 +44,12 @@ def fill_defaults(df: DataFrame, price: str = "sell_price") -> DataFrame:
 
 
 def price_edges(train: DataFrame, price: str = "sell_price") -> DataFrame:
-    """One row: exact (interpolated) quantiles 0, .25, .5, .75, 1 of the train prices."""
-    return train.agg(F.percentile(F.col(price), F.array(*[F.lit(q) for q in BAND_QUANTILES])).alias("edges"))
+    """One row: exact (interpolated) quantiles 0, .25, .5, .75, 1 of the train prices.
+
+    Rows are counted by value before the quantiles are taken from the counts.
+    """
+    counts = train.groupBy(price).agg(F.count("*").alias("_n"))
+    return counts.agg(F.percentile(F.col(price), F.array(*[F.lit(q) for q in BAND_QUANTILES]), F.col("_n")).alias("edges"))
 
 
 def band(x: Column, edges: Column, strict: bool = True) -> Column:
@@ -111,7 +115,10 @@ def pct_change(value: str, period: str, key: str = "item_id", date: str = "date"
 
 
 def pct_changes(df: DataFrame, value: str = "sell_price", key: str = "item_id", date: str = "date",
-                week_col: str = "wm_yr_wk") -> DataFrame:
+                week_col: str | None = None) -> DataFrame:
+    """Percent changes by week, month, quarter and year. Weeks are numbered
+    through the calendar; ``week_col`` may name a week number instead, which
+    must be consecutive (retail week ids jump at the turn of a year)."""
     return df.select(
         "*",
         pct_change(value, "week", key, date, period_col=week_col).alias("weekly_pct_change"),

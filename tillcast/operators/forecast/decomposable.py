@@ -3,8 +3,9 @@
 The design row of a date is built by expressions on the (small) calendar:
 piecewise-linear trend with hinge changepoints, yearly and weekly Fourier
 terms, one flag per holiday taken from the calendar's event names. Each
-series is fitted by ridge regression from its Gram sums (one aggregation),
-and forecast by ``beta' x`` on the future calendar rows.
+series is fitted by ridge regression from its Gram sums and forecast by
+``beta' x`` on the future calendar rows. ``train`` must be dense (every item
+has every training day, as the panel gives it).
 """
 
 from __future__ import annotations
@@ -23,20 +24,26 @@ YEARLY_ORDER = 4
 WEEKLY_ORDER = 3
 N_CHANGEPOINTS = 5
 CHANGEPOINT_RANGE = 0.8
-HOLIDAYS = ["NewYear", "ValentinesDay", "Thanksgiving", "Christmas"]
 RIDGE = 1e-4
 
 
-def design_columns() -> list[str]:
+def holiday_names(calendar: DataFrame) -> list[str]:
+    """Every event name of the calendar (a handful of rows, whatever the sales)."""
+    names = calendar.select(F.explode(F.array("event_name_1", "event_name_2")).alias("e")).where("e is not null").distinct()
+    return sorted(r[0] for r in names.collect())
+
+
+def design_columns(holidays: list[str]) -> list[str]:
     cols = ["t"] + [f"cp{j}" for j in range(1, N_CHANGEPOINTS + 1)]
     cols += [f"{f}_y{k}" for k in range(1, YEARLY_ORDER + 1) for f in ("sin", "cos")]
     cols += [f"{f}_w{k}" for k in range(1, WEEKLY_ORDER + 1) for f in ("sin", "cos")]
-    cols += [f"hol_{h}" for h in HOLIDAYS]
+    cols += [f"hol_{h}" for h in holidays]
     return cols
 
 
-def design(calendar: DataFrame, first_day: Column, train_end: Column) -> DataFrame:
-    """date + design columns; t in years since the first day."""
+def design(calendar: DataFrame, first_day: Column, train_end: Column, holidays: list[str] | None = None) -> DataFrame:
+    """date + design columns; t in years since the first day; a flag for every event of the calendar."""
+    holidays = holiday_names(calendar) if holidays is None else holidays
     days = F.datediff(F.col("date"), first_day).cast("double")
     span = F.datediff(train_end, first_day).cast("double")
     cols = [F.col("date"), (days / YEAR_DAYS).alias("t")]
@@ -49,7 +56,7 @@ def design(calendar: DataFrame, first_day: Column, train_end: Column) -> DataFra
     for k in range(1, WEEKLY_ORDER + 1):
         a = F.lit(2 * math.pi * k) * days / 7.0
         cols += [F.sin(a).alias(f"sin_w{k}"), F.cos(a).alias(f"cos_w{k}")]
-    for hname in HOLIDAYS:
+    for hname in holidays:
         hit = (F.col("event_name_1") == hname) | (F.col("event_name_2") == hname)
         cols.append(F.coalesce(hit.cast("int"), F.lit(0)).alias(f"hol_{hname}"))
     return calendar.select(*cols)
@@ -57,9 +64,13 @@ def design(calendar: DataFrame, first_day: Column, train_end: Column) -> DataFra
 
 def fc_decomposable(train: DataFrame, calendar: DataFrame, first_day: Column, train_end: Column,
                     h: int = 28, key: str = "item_id", y: str = "sales_amount", name: str = "decomposable") -> DataFrame:
-    xcols = design_columns()
-    des = checked_broadcast(design(calendar, first_day, train_end))
-    sums = gram.gram_sums(train.join(des, "date"), key, xcols, y)
+    holidays = holiday_names(calendar)
+    xcols = design_columns(holidays)
+    rows = design(calendar, first_day, train_end, holidays)
+    des = checked_broadcast(rows)
+    # All series cover the same training days, so X'X is one small sum over the calendar; only X'y is per item.
+    shared = gram.gram_sums(rows.where(F.col("date") <= train_end).withColumn("_y", F.lit(0.0)).withColumn("_all", F.lit(0)), "_all", xcols, "_y")
+    sums = gram.cross_sums(train.join(des, "date"), key, xcols, y).withColumn("xtx", shared.select("xtx").scalar())
     coef = gram.ols(sums, key, len(xcols) + 1, ridge=RIDGE)
     last = train.groupBy(key).agg(F.max("date").alias("last_date"))
     grid = last.select(key, F.explode(F.sequence(F.date_add("last_date", 1), F.date_add("last_date", h))).alias("date"))

@@ -103,7 +103,7 @@ def fit(train: DataFrame, key: str = "item_id", date: str = "date", y: str = "sa
                               F.col("n").alias("i"), F.col("st.sse").alias("sse"), F.lit(4).alias("k")))
     if "hw" in forms:
         grid = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c"))
-                for a, b, c in itertools.product(ALPHAS, BETAS[:2], GAMMAS[:3])]
+                for a, b, c in itertools.product(ALPHAS, BETAS, GAMMAS)]
         g = arr.select("*", F.explode(F.array(*grid)).alias("p"))
         r = g.select(key, "last_date", "n",
                      _hw_fold(F.col("ys"), F.col("p.a"), F.col("p.b"), F.col("p.c")).alias("st"))
@@ -184,7 +184,7 @@ def ets_series(y: np.ndarray, h: int, forms=("ses", "holt", "hw")):
         lvl, b, s, sse = _fold_numpy(y, ab[:, 0], ab[:, 1])
         cands.append((_aicc_np(sse, n, 4), lvl, b, np.zeros((len(ab), SEASON))))
     if "hw" in forms:
-        abc = np.array(list(itertools.product(ALPHAS, BETAS[:2], GAMMAS[:3])))
+        abc = np.array(list(itertools.product(ALPHAS, BETAS, GAMMAS)))
         lvl, b, s, sse = _fold_numpy(y, abc[:, 0], abc[:, 1], abc[:, 2])
         cands.append((_aicc_np(sse, n, 4 + SEASON), lvl, b, s))
     best = None

@@ -47,13 +47,11 @@ def rmse_per_day_mean(aligned: DataFrame, date="date") -> DataFrame:
 
 
 def mape_parts() -> list[Column]:
-    """MAPE = mean(|e| / max(|y|, eps)) kept as two sums.
+    """MAPE = mean(|e| / max(|y|, eps)) as two sums and a count.
 
     On rows with y = 0 the term is |e| / eps = |e| * 2^52, so that part is
     kept as a plain sum of |e| and scaled once at the end (exact, since eps
-    is a power of two); rows with y != 0 are summed apart. Rounding each
-    partial sum to 6 places before combining makes the result independent of
-    summation order across engines.
+    is a power of two); rows with y != 0 are summed apart.
     """
     e, y = F.abs(_err()), F.abs(F.col("y"))
     zero = y < F.lit(EPS)
@@ -62,8 +60,8 @@ def mape_parts() -> list[Column]:
             F.count("*").alias("_mape_n")]
 
 
-def mape_value() -> Column:
-    big, small, n = F.round("_mape_big", 6), F.round("_mape_small", 6), F.col("_mape_n")
+def mape_value(big: Column | str = "_mape_big", small: Column | str = "_mape_small", n: Column | str = "_mape_n") -> Column:
+    big, small, n = (F.col(c) if isinstance(c, str) else c for c in (big, small, n))
     return big * F.lit(1.0 / EPS) / n + small / n
 
 
@@ -75,13 +73,14 @@ def poisson_deviance() -> Column:
 
 
 def pooled_errors(aligned: DataFrame) -> DataFrame:
-    """Pooled MAE, MSE, RMSE, MAPE (floored denominator) and Poisson deviance (M4-M6)."""
+    """Pooled MAE, MSE, RMSE, weighted APE, MAPE (floored denominator) and Poisson deviance (M4-M6)."""
     e = _err()
     out = aligned.groupBy("model").agg(
         F.avg(F.abs(e)).alias("mae"),
         F.avg(F.pow(e, 2)).alias("mse"),
         F.sqrt(F.avg(F.pow(e, 2))).alias("rmse_pooled"),
         poisson_deviance().alias("poisson_deviance"),
+        (F.sum(F.abs(e)) / F.sum(F.abs("y"))).alias("wape"),
         F.count("*").alias("n"),
         *mape_parts(),
     )
@@ -98,10 +97,38 @@ def negative_forecasts(forecast: DataFrame, key="item_id") -> DataFrame:
         F.sum("neg_rows").cast("bigint").alias("negative_rows"))
 
 
-def leaderboard(forecast: DataFrame, actual: DataFrame, key="item_id", date="date", y="sales_amount") -> DataFrame:
-    """One row per model, missing forecasts scored as 0, all three RMSEs (M7)."""
-    aligned = align(forecast, actual, key, date, y, how="inner", fill_missing=0.0)
-    per_item = rmse_per_item_mean(aligned, key)
-    per_day = rmse_per_day_mean(aligned, date)
-    pooled = pooled_errors(aligned).select("model", "rmse_pooled", "mae")
-    return per_item.join(per_day, "model").join(pooled, "model").orderBy("rmse")
+def every_model(actual: DataFrame, models: list, key="item_id", date="date", y="sales_amount") -> DataFrame:
+    """Actuals once for each model (a bounded list of names)."""
+    return actual.select(key, date, F.col(y).alias("y"), F.explode(F.array(*[F.lit(m) for m in models])).alias("model"))
+
+
+def models_of(forecast: DataFrame) -> list:
+    """Names of the models, one short row each."""
+    return sorted(r[0] for r in forecast.select("model").distinct().collect())
+
+
+def leaderboard(forecast: DataFrame, actual: DataFrame, key="item_id", date="date", y="sales_amount",
+                models: list | None = None) -> DataFrame:
+    """One row per model, all three RMSEs, absent and null forecasts scored as 0 and counted (M7).
+
+    Every model is held against every actual (item, date). The aligned rows
+    are summed once, by (model, item) and (model, date) together; the board
+    is an aggregate of those sums. ``models`` (default: those with a row in
+    ``forecast``) may name models whose forecasts are all absent.
+    """
+    models = models_of(forecast) if models is None else models
+    if not models:
+        models = [None]
+    grid = every_model(actual, models, key, date, y)
+    aligned = grid.join(forecast.select("model", key, date, "mean"), ["model", key, date], "left")
+    e = F.col("y") - F.coalesce("mean", F.lit(0.0))
+    sums = aligned.groupingSets([[F.col("model"), F.col(key)], [F.col("model"), F.col(date)]], "model", key, date).agg(
+        F.sum(e * e).alias("sse"), F.sum(F.abs(e)).alias("sae"), F.count("*").alias("n"),
+        F.count_if(F.col("mean").isNull()).alias("absent"), F.grouping(key).alias("by_day"))
+    rmse, item, day = F.sqrt(F.col("sse") / F.col("n")), F.col("by_day") == 0, F.col("by_day") == 1
+    of_items = lambda c: F.sum(F.when(item, F.col(c)))
+    return (sums.where("model is not null").groupBy("model").agg(
+        F.avg(F.when(item, rmse)).alias("rmse"), F.count_if(item).alias("n_items"),
+        F.avg(F.when(day, rmse)).alias("rmse_per_day"), F.count_if(day).alias("n_days"),
+        F.sqrt(of_items("sse") / of_items("n")).alias("rmse_pooled"), (of_items("sae") / of_items("n")).alias("mae"),
+        of_items("absent").alias("n_absent")).orderBy("rmse"))

@@ -11,7 +11,7 @@ from tillcast.plans.oracle import with_panel
 from tillcast.plans.q_forecast import SNAIVE_CTES
 from tillcast.plans.q_reshape import _ENRICHED, enriched
 from tillcast.plans.registry import query
-from tillcast.sources.panel import SalesPanel
+from tillcast.sources.panel import CALENDAR_EXTRA_DAYS, SalesPanel
 
 WEEK_END_SQL = "CAST(date_trunc('week', date) + INTERVAL 6 DAY AS DATE)"
 
@@ -25,21 +25,24 @@ def _r6(df, *cols):
 @query("first_dates", with_panel("""
 SELECT item_id, min(CASE WHEN sell_price IS NOT NULL THEN date END) AS first_price_date,
        min(CASE WHEN sales_amount > 0 THEN date END) AS first_sale_date
-FROM enriched GROUP BY item_id""", _ENRICHED))
+FROM enriched WHERE date <= (SELECT hi - 28 FROM bounds) GROUP BY item_id""", _ENRICHED))
 def first_dates(spark, sf_dir):
-    e = enriched(SalesPanel(spark, sf_dir))
+    """First priced and first sold day of each item in the training days."""
+    p = SalesPanel(spark, sf_dir)
+    e = enriched(p).filter(F.col("date") <= p.train_end())
     return e.groupBy("item_id").agg(
         F.min(F.when(F.col("sell_price").isNotNull(), F.col("date"))).alias("first_price_date"),
         F.min(F.when(F.col("sales_amount") > 0, F.col("date"))).alias("first_sale_date"))
 
 
 @query("product_age", with_panel("""
-SELECT item_id, CAST(date_diff('day', min(date), (SELECT hi - 28 FROM bounds)) AS INTEGER) AS product_age
+SELECT item_id, CAST(date_diff('day', min(date), (SELECT hi + 28 FROM bounds)) AS INTEGER) AS product_age
 FROM train WHERE sales_amount > 0 GROUP BY item_id"""))
 def product_age(spark, sf_dir):
     p = SalesPanel(spark, sf_dir)
     first = p.train().filter(F.col("sales_amount") > 0).groupBy("item_id").agg(F.min("date").alias("first_sale"))
-    return first.select("item_id", F.datediff(p.train_end(), F.col("first_sale")).alias("product_age"))
+    end = F.date_add(p.last_day(), CALENDAR_EXTRA_DAYS)  # calendar length minus the day number of the first sale
+    return first.select("item_id", F.datediff(end, F.col("first_sale")).alias("product_age"))
 
 
 @query("item_totals", with_panel(
@@ -103,7 +106,7 @@ SELECT {WEEK_END_SQL} AS date, max(wm_yr_wk) AS wm_yr_wk, CAST(sum(ce) AS BIGINT
 FROM (SELECT *, CAST(event_name_1 IS NOT NULL AS INTEGER) + CAST(event_name_2 IS NOT NULL AS INTEGER) AS ce FROM calendar)
 GROUP BY 1"""))
 def weekly_calendar(spark, sf_dir):
-    cal = SalesPanel(spark, sf_dir).calendar()
+    cal = SalesPanel(spark, sf_dir).calendar_scan()
     ce = F.col("event_name_1").isNotNull().cast("int") + F.col("event_name_2").isNotNull().cast("int")
     wk = F.col("weekday").isin(features.WEEKEND_DAYS)
     c = cal.withColumn("ce", ce)
@@ -132,11 +135,15 @@ def monthly_yearly_price(spark, sf_dir):
 
 
 @query("events_by_day", with_panel("""
-SELECT weekday, event_name_1, count(*) AS n FROM enriched WHERE event_name_1 IS NOT NULL
-GROUP BY 1, 2 ORDER BY 1, 2""", _ENRICHED))
+SELECT CAST(day(t.date) AS INTEGER) AS day, c.event_name_1, count(*) AS n
+FROM train t JOIN calendar c USING (date) WHERE c.event_name_1 IS NOT NULL
+GROUP BY 1, 2 ORDER BY n DESC, 1, 2"""))
 def events_by_day(spark, sf_dir):
-    e = enriched(SalesPanel(spark, sf_dir)).filter(F.col("event_name_1").isNotNull())
-    return e.groupBy("weekday", "event_name_1").agg(F.count("*").alias("n")).orderBy("weekday", "event_name_1")
+    """Training rows by day of month and event, most frequent first."""
+    p = SalesPanel(spark, sf_dir)
+    e = enrich.with_calendar(p.train(), p.calendar().filter(F.col("event_name_1").isNotNull()))
+    counts = e.groupBy(F.dayofmonth("date").alias("day"), "event_name_1").agg(F.count("*").alias("n"))
+    return counts.orderBy(F.desc("n"), "day", "event_name_1")
 
 
 @query("value_counts", with_panel(
@@ -187,7 +194,14 @@ def profile_numeric(spark, sf_dir):
     return _r6(a.unionByName(b), "mean", "std", "q25", "q50", "q75")
 
 
-@query("schema_profile")
+_TYPES = {"item_id": "string", "date": "date", "sales_amount": "double", "wm_yr_wk": "int", "weekday": "string", "wday": "int",
+          "month": "int", "year": "int", "d": "string", "event_name_1": "string", "event_type_1": "string",
+          "event_name_2": "string", "event_type_2": "string", "snap_TX": "int", "sell_price": "double"}
+
+
+@query("schema_profile", with_panel("SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column, '{t}' AS type, count({c}) AS non_null FROM enriched" for c, t in _TYPES.items()) + ")",
+    _ENRICHED.replace("enriched AS (", "enriched AS MATERIALIZED (")))
 def schema_profile(spark, sf_dir):
     return explore.schema_profile(enriched(SalesPanel(spark, sf_dir)))
 
@@ -262,20 +276,46 @@ def pred_vs_actual(spark, sf_dir):
     return _r6(long.groupBy("date", "variable").agg(F.avg("value").alias("value")), "value")
 
 
-@query("acf_weekly", with_panel(f"""
+def _acf_sql(series: str, max_lag: int) -> str:
+    """Autocorrelation of ``series`` (CTE series: t consecutive, y) to ``max_lag`` with the Bartlett band."""
+    return with_panel(f"""
 SELECT k, round(acf, 6) AS acf,
        round(1.96 * sqrt(CASE WHEN k = 0 THEN 0.0 WHEN k = 1 THEN 1.0 / n
             ELSE (1 + 2 * coalesce(sum(CASE WHEN k >= 1 THEN acf * acf END)
                  OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / n END), 6) AS band
 FROM (
   SELECT a.k, sum(a.e * b.e) / (SELECT sum(e * e) FROM dev) AS acf, (SELECT count(*) FROM dev) AS n
-  FROM (SELECT t, e, CAST(k AS INTEGER) AS k FROM dev, range(0, 25) r(k)) a JOIN dev b ON b.t = a.t + a.k
-  GROUP BY a.k)""", f"""
-wk AS (SELECT {WEEK_END_SQL} AS week_end, sum(sales_amount) AS sales FROM sales GROUP BY 1),
-dev AS (SELECT CAST(date_diff('day', DATE '1970-01-04', week_end) / 7 AS INTEGER) AS t,
-               sales - (SELECT avg(sales) FROM wk) AS e FROM wk)"""))
-def acf_weekly(spark, sf_dir):
-    s = SalesPanel(spark, sf_dir).sales()
-    wk = explore.resample(s, "date", "week", [F.sum("sales_amount").alias("sales")])
-    series = wk.select((F.datediff("date", F.lit("1970-01-04").cast("date")) / 7).cast("int").alias("t"), "sales")
-    return _r6(explore.acf(series, "t", "sales", 24), "acf", "band")
+  FROM (SELECT t, e, CAST(k AS INTEGER) AS k FROM dev, range(0, {max_lag + 1}) r(k)) a JOIN dev b ON b.t = a.t + a.k
+  GROUP BY a.k)""", series + """,
+dev AS MATERIALIZED (SELECT t, y - (SELECT avg(y) FROM series) AS e FROM series)""")
+
+
+_WEEK_NO = "CAST(date_diff('day', DATE '1970-01-04', week_end) / 7 AS INTEGER) AS t"
+_SALES_SERIES = f"""
+series AS MATERIALIZED (SELECT {_WEEK_NO}, y FROM (SELECT {WEEK_END_SQL} AS week_end, sum(sales_amount) AS y FROM sales GROUP BY 1))"""
+_SNAP_SERIES = f"""
+series AS MATERIALIZED (SELECT {_WEEK_NO}, y FROM (SELECT {WEEK_END_SQL} AS week_end, CAST(sum(snap_TX) AS DOUBLE) AS y FROM calendar GROUP BY 1))"""
+_PRICE_SERIES = _DAILY_PRICE + """,
+series AS MATERIALIZED (SELECT CAST(year(date) * 12 + month(date) AS INTEGER) AS t, avg(mean_price) AS y FROM daily_price GROUP BY 1)"""
+
+
+def _weekly_series(df, value):
+    wk = explore.resample(df, "date", "week", [F.sum(value).cast("double").alias("y")])
+    return wk.select((F.datediff("date", F.lit("1970-01-04").cast("date")) / 7).cast("int").alias("t"), "y")
+
+
+def _monthly_price(p):
+    return daily_price(p).groupBy((F.year("date") * 12 + F.month("date")).alias("t")).agg(F.avg("mean_price").alias("y"))
+
+
+_ACF = {
+    "acf_weekly": (_SALES_SERIES, 24, lambda p: _weekly_series(p.sales(), "sales_amount")),
+    "acf_weekly_52": (_SALES_SERIES, 52, lambda p: _weekly_series(p.sales(), "sales_amount")),
+    "acf_snap_weekly_52": (_SNAP_SERIES, 52, lambda p: _weekly_series(p.calendar_scan(), "snap_TX")),
+    "acf_price_monthly_24": (_PRICE_SERIES, 24, _monthly_price),
+}
+for _name, (_series, _lag, _make) in _ACF.items():
+    def _query(make, max_lag):
+        return lambda spark, sf_dir: _r6(explore.acf(make(SalesPanel(spark, sf_dir)), "t", "y", max_lag), "acf", "band")
+
+    query(_name, _acf_sql(_series, _lag))(_query(_make, _lag))

@@ -12,8 +12,7 @@ from tillcast.plans.registry import query
 from tillcast.sources.panel import SalesPanel
 
 
-def feature_table(spark, sf_dir, **kw):
-    p = SalesPanel(spark, sf_dir)
+def feature_table(p: SalesPanel, **kw):
     return features.build_features(p.sales(), p.calendar(), p.prices(), p.train_end(), **kw)
 
 
@@ -83,7 +82,7 @@ PCT = ["weekly_pct_change", "monthly_pct_change", "qrt_pct_change", "yearly_pct_
 @query("feature_table", with_panel(
     "SELECT * REPLACE (" + ", ".join(f"round({c}, 6) AS {c}" for c in PCT) + ") FROM features", FEATURE_CTES))
 def q_feature_table(spark, sf_dir):
-    f = feature_table(spark, sf_dir)
+    f = feature_table(SalesPanel(spark, sf_dir))
     for c in PCT:
         f = f.withColumn(c, F.round(c, 6))
     return f
@@ -93,7 +92,7 @@ def q_feature_table(spark, sf_dir):
     "SELECT item_id, date, " + ", ".join(f"lag7_{c}" for c in features.LAG7_COLUMNS) + " FROM features",
     FEATURE_CTES))
 def lag7_features(spark, sf_dir):
-    return feature_table(spark, sf_dir).select("item_id", "date", *[f"lag7_{c}" for c in features.LAG7_COLUMNS])
+    return feature_table(SalesPanel(spark, sf_dir)).select("item_id", "date", *[f"lag7_{c}" for c in features.LAG7_COLUMNS])
 
 
 for _name, _col in [("pct_change_week", "weekly_pct_change"), ("pct_change_month", "monthly_pct_change"),
@@ -104,7 +103,7 @@ for _name, _col in [("pct_change_week", "weekly_pct_change"), ("pct_change_month
             e = features.fill_defaults(enriched(p))
             period = {"weekly_pct_change": "week", "monthly_pct_change": "month",
                       "qrt_pct_change": "quarter", "yearly_pct_change": "year"}[col]
-            pc = features.pct_change("sell_price", period, period_col="wm_yr_wk" if period == "week" else None)
+            pc = features.pct_change("sell_price", period)
             return e.select("item_id", "date", F.round(pc, 6).alias(col))
         return fn
 
@@ -114,7 +113,7 @@ for _name, _col in [("pct_change_week", "weekly_pct_change"), ("pct_change_month
 @query("price_band", with_panel(
     "SELECT item_id, date, sell_price, price_category FROM features", FEATURE_CTES))
 def price_band(spark, sf_dir):
-    return feature_table(spark, sf_dir).select("item_id", "date", "sell_price", "price_category")
+    return feature_table(SalesPanel(spark, sf_dir)).select("item_id", "date", "sell_price", "price_category")
 
 
 _FFILL = _ENRICHED + """,

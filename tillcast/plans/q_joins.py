@@ -8,7 +8,7 @@ from tillcast.operators import enrich, reshape, score
 from tillcast.operators.forecast import naive
 from tillcast.plans.oracle import with_panel
 from tillcast.plans.q_forecast import SNAIVE_CTES
-from tillcast.plans.q_reshape import _ENRICHED, enriched, test_wide
+from tillcast.plans.q_reshape import _ENRICHED, enriched, sales_wide
 from tillcast.plans.registry import query
 from tillcast.sources.panel import SalesPanel
 from tillcast.session import checked_broadcast
@@ -23,11 +23,11 @@ def join_calendar(spark, sf_dir):
 @query("join_day_label", with_panel("""
 SELECT i.id, 'd_' || CAST(date_diff('day', b.lo, t.date) + 1 AS VARCHAR) AS Day, t.sales_amount AS sales,
        c.date, c.wm_yr_wk, c.snap_TX
-FROM test t JOIN items i USING (item_id) CROSS JOIN bounds b
+FROM sales t JOIN items i USING (item_id) CROSS JOIN bounds b
 LEFT JOIN calendar c ON c.d = 'd_' || CAST(date_diff('day', b.lo, t.date) + 1 AS VARCHAR)"""))
 def join_day_label(spark, sf_dir):
     p = SalesPanel(spark, sf_dir)
-    long = reshape.melt(test_wide(p), ["id"], prefix="d_", var_name="Day", value_name="sales")
+    long = reshape.melt(sales_wide(p), ["id"], prefix="d_", var_name="Day", value_name="sales")
     cal = p.calendar().select("d", "date", "wm_yr_wk", "snap_TX")
     return long.join(checked_broadcast(cal), long["Day"] == cal["d"], "left").drop("d")
 
@@ -49,13 +49,13 @@ def flag_first_date(spark, sf_dir):
 
 
 _LAST_PRICE = """
-last_price AS (SELECT item_id, arg_max(sell_price, date) AS last_price FROM enriched
+last_price AS MATERIALIZED (SELECT item_id, arg_max(sell_price, date) AS last_price FROM enriched
                WHERE sell_price IS NOT NULL AND date <= (SELECT hi - 28 FROM bounds) GROUP BY item_id)"""
 
 
 @query("attach_last_price", with_panel("""
 SELECT t.item_id, t.date, l.last_price FROM test t LEFT JOIN last_price l USING (item_id)""",
-                                       _ENRICHED + "," + _LAST_PRICE))
+                                       _ENRICHED.replace("enriched AS (", "enriched AS MATERIALIZED (") + "," + _LAST_PRICE))
 def attach_last_price(spark, sf_dir):
     p = SalesPanel(spark, sf_dir)
     e = enriched(p).filter((F.col("date") <= p.train_end()) & F.col("sell_price").isNotNull())
@@ -74,7 +74,7 @@ SELECT date, event,
 FROM (SELECT date, CASE WHEN event_name_1 IS NOT NULL THEN 1 ELSE 0 END AS event FROM calendar)
 WINDOW w AS (ORDER BY date), wa AS (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""))
 def event_lags(spark, sf_dir):
-    cal = SalesPanel(spark, sf_dir).calendar()
+    cal = SalesPanel(spark, sf_dir).calendar_scan()
     ev = cal.select("date", F.when(F.col("event_name_1").isNotNull(), 1).otherwise(0).alias("event"))
     return enrich.calendar_lags_leads(ev, "event")
 

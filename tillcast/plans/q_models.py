@@ -9,8 +9,9 @@ from tillcast.operators.forecast import ar, decomposable, dynreg, gram, naive, r
 from tillcast.plans.oracle import with_panel
 from tillcast.plans.q_features import _FFILL
 from tillcast.plans.q_forecast import FAMILY_CTES
+from tillcast.plans.q_reshape import _pivot_sql
 from tillcast.plans.registry import query
-from tillcast.sources.panel import SalesPanel
+from tillcast.sources.panel import FIXED_DATE_EVENTS, SUNDAY_SECOND_EVENT, THANKSGIVING, SalesPanel
 
 
 def train_reg(p: SalesPanel):
@@ -48,11 +49,7 @@ def future_regressors(spark, sf_dir):
     return future_reg(SalesPanel(spark, sf_dir))
 
 
-@query("submissions_by_model", with_panel("""
-PIVOT (SELECT f.model, i.id, 'd_' || CAST(date_diff('day', b.lo, f.date) + 1 AS VARCHAR) AS d,
-              round_even(f.mean, 0) AS mean
-       FROM family f JOIN items i USING (item_id), bounds b)
-ON d USING avg(mean) GROUP BY model, id""", FAMILY_CTES))
+@query("submissions_by_model", with_panel(_pivot_sql("family", "model, id"), FAMILY_CTES))
 def submissions_by_model(spark, sf_dir):
     """All models' forecasts pivoted once, keyed by (model, id)."""
     p = SalesPanel(spark, sf_dir)
@@ -133,7 +130,7 @@ def _design_sql():
     for k in range(1, decomposable.WEEKLY_ORDER + 1):
         cols += [f"round(sin({2 * math.pi * k!r} * days / 7.0), 6) AS sin_w{k}",
                  f"round(cos({2 * math.pi * k!r} * days / 7.0), 6) AS cos_w{k}"]
-    for h in decomposable.HOLIDAYS:
+    for h in sorted([e[2] for e in FIXED_DATE_EVENTS] + [THANKSGIVING[0], SUNDAY_SECOND_EVENT[0]]):
         cols.append(f"CAST(coalesce(event_name_1 = '{h}' OR event_name_2 = '{h}', false) AS INTEGER) AS hol_{h}")
     return ("SELECT date, " + ", ".join(cols) + """
 FROM (SELECT c.*, CAST(date_diff('day', b.lo, c.date) AS DOUBLE) AS days,
@@ -143,7 +140,7 @@ FROM (SELECT c.*, CAST(date_diff('day', b.lo, c.date) AS DOUBLE) AS days,
 @query("fourier_holiday_design", with_panel(_design_sql()))
 def fourier_holiday_design(spark, sf_dir):
     p = SalesPanel(spark, sf_dir)
-    d = decomposable.design(p.calendar(), p.first_day(), p.train_end())
+    d = decomposable.design(p.calendar_scan(), p.first_day(), p.train_end())
     for c in d.columns:
         if c != "date" and not c.startswith("hol_"):
             d = d.withColumn(c, F.round(c, 6))

@@ -16,34 +16,42 @@ from tillcast.session import checked_broadcast
 ITEM_PATTERN = r"^[A-Z]+_[0-9]+"
 
 
-def test_wide(p: SalesPanel):
-    """Actuals of the last 28 days as a wide table: id, d_N x 28 (the test file)."""
-    labels = p.test_labels()
-    long = (p.test().join(p.items(), "item_id")
+def sales_wide(p: SalesPanel):
+    """Actuals of the whole history as a wide table: id, one d_N column for each day (the sales file)."""
+    long = (p.sales().join(p.items(), "item_id")
             .withColumn("d", reshape.day_label("date", p.first_day())))
-    return reshape.pivot_wide(long, "id", "d", "sales_amount", labels)
+    return reshape.pivot_wide(long, "id", "d", "sales_amount", p.day_labels())
 
 
-_TEST_LONG = "SELECT i.id, 'd_' || CAST(date_diff('day', b.lo, t.date) + 1 AS VARCHAR) AS d, t.sales_amount AS sales FROM test t JOIN items i USING (item_id), bounds b"
+_SALES_LONG = "SELECT i.id, 'd_' || CAST(date_diff('day', b.lo, t.date) + 1 AS VARCHAR) AS d, t.sales_amount AS sales FROM sales t JOIN items i USING (item_id), bounds b"
+# The held-out days of the driver tables: they start at the same date at every scale.
+_TEST_DAYS = range(2472, 2500)
 
 
-@query("melt_sales", with_panel(_TEST_LONG))
+def _pivot_sql(source: str, keys: str) -> str:
+    """Wide submission with one column for each held-out day."""
+    cols = ", ".join(f"avg(CASE WHEN n = {k} THEN mean END) AS d_{k}" for k in _TEST_DAYS)
+    return f"""
+SELECT {keys}, {cols}
+FROM (SELECT f.model, i.id, CAST(date_diff('day', b.lo, f.date) + 1 AS INTEGER) AS n, round_even(f.mean, 0) AS mean
+      FROM {source} f JOIN items i USING (item_id), bounds b)
+GROUP BY {keys}"""
+
+
+@query("melt_sales", with_panel(_SALES_LONG))
 def melt_sales(spark, sf_dir):
     p = SalesPanel(spark, sf_dir)
-    return reshape.melt(test_wide(p), ["id"], prefix="d_", var_name="d", value_name="sales")
+    return reshape.melt(sales_wide(p), ["id"], prefix="d_", var_name="d", value_name="sales")
 
 
-@query("day_to_date", with_panel("SELECT item_id, date, sales_amount AS sales FROM test"))
+@query("day_to_date", with_panel("SELECT item_id, date, sales_amount AS sales FROM sales"))
 def day_to_date(spark, sf_dir):
     p = SalesPanel(spark, sf_dir)
-    long = reshape.melt(test_wide(p), ["id"], prefix="d_", var_name="d", value_name="sales")
+    long = reshape.melt(sales_wide(p), ["id"], prefix="d_", var_name="d", value_name="sales")
     return long.select(reshape.split_id("id")[0], reshape.day_label_to_date("d", p.first_day()).alias("date"), "sales")
 
 
-@query("pivot_submission", with_panel("""
-PIVOT (SELECT i.id, 'd_' || CAST(date_diff('day', b.lo, s.date) + 1 AS VARCHAR) AS d, round_even(s.mean, 0) AS mean
-       FROM snaive s JOIN items i USING (item_id), bounds b)
-ON d USING avg(mean) GROUP BY id""", SNAIVE_CTES))
+@query("pivot_submission", with_panel(_pivot_sql("snaive", "id"), SNAIVE_CTES))
 def pivot_submission(spark, sf_dir):
     p = SalesPanel(spark, sf_dir)
     fc = naive.fc_snaive(p.train())
@@ -106,7 +114,7 @@ SELECT date, strftime(date, '%-m/%-d/%Y') AS date_text,
        CAST(CAST(date AS VARCHAR) AS DATE) AS parsed_iso
 FROM calendar"""))
 def parse_dates(spark, sf_dir):
-    cal = SalesPanel(spark, sf_dir).calendar()
+    cal = SalesPanel(spark, sf_dir).calendar_scan()
     t = F.date_format("date", "M/d/yyyy")
     return cal.select("date", t.alias("date_text"), D.parse_mdy(t).alias("parsed"),
                       D.parse_iso(F.col("date").cast("string")).alias("parsed_iso"))
@@ -115,7 +123,7 @@ def parse_dates(spark, sf_dir):
 @query("rebuild_date", with_panel(
     "SELECT date, make_date(year, month, CAST(day(date) AS INTEGER)) AS rebuilt FROM calendar"))
 def rebuild_date(spark, sf_dir):
-    cal = SalesPanel(spark, sf_dir).calendar()
+    cal = SalesPanel(spark, sf_dir).calendar_scan()
     return cal.select("date", F.make_date("year", "month", F.dayofmonth("date")).alias("rebuilt"))
 
 
@@ -125,7 +133,7 @@ SELECT date, CAST(day(date) AS INTEGER) AS day, CAST(month(date) AS INTEGER) AS
        CAST(isodow(date) - 1 AS INTEGER) AS weekday_no, CAST(year(date) AS INTEGER) AS year
 FROM calendar"""))
 def date_parts(spark, sf_dir):
-    cal = SalesPanel(spark, sf_dir).calendar()
+    cal = SalesPanel(spark, sf_dir).calendar_scan()
     return cal.select("date", *D.date_parts("date"))
 
 
@@ -134,7 +142,7 @@ SELECT date, weekday NOT IN ('Saturday', 'Sunday') AS is_weekday, weekday IN ('S
        CAST(wday <= 2 AS INTEGER) AS weekend_by_wday
 FROM calendar"""))
 def weekend_flags(spark, sf_dir):
-    cal = SalesPanel(spark, sf_dir).calendar()
+    cal = SalesPanel(spark, sf_dir).calendar_scan()
     wk = F.col("weekday").isin(features.WEEKEND_DAYS)
     return cal.select("date", (~wk).alias("is_weekday"), wk.alias("is_weekend"),
                       (F.col("wday") <= 2).cast("int").alias("weekend_by_wday"))
@@ -144,7 +152,7 @@ def weekend_flags(spark, sf_dir):
 SELECT date, CAST(event_name_1 IS NOT NULL AS INTEGER) + CAST(event_name_2 IS NOT NULL AS INTEGER) AS is_holiday
 FROM calendar"""))
 def holiday_count(spark, sf_dir):
-    cal = SalesPanel(spark, sf_dir).calendar()
+    cal = SalesPanel(spark, sf_dir).calendar_scan()
     return cal.select("date", (F.col("event_name_1").isNotNull().cast("int")
                                + F.col("event_name_2").isNotNull().cast("int")).alias("is_holiday"))
 
@@ -152,7 +160,7 @@ def holiday_count(spark, sf_dir):
 @query("event_flag", with_panel(
     "SELECT date, CASE WHEN event_name_1 IS NOT NULL THEN 1 ELSE 0 END AS event FROM calendar"))
 def event_flag(spark, sf_dir):
-    cal = SalesPanel(spark, sf_dir).calendar()
+    cal = SalesPanel(spark, sf_dir).calendar_scan()
     return cal.select("date", F.when(F.col("event_name_1").isNotNull(), 1).otherwise(0).alias("event"))
 
 
@@ -161,7 +169,7 @@ SELECT c.date, CASE WHEN a.date IS NULL THEN 0 ELSE 1 END AS after_thanksgiving
 FROM calendar c LEFT JOIN (SELECT DISTINCT CAST(date + 1 AS DATE) AS date FROM calendar WHERE event_name_1 = 'Thanksgiving') a
   ON a.date = c.date"""))
 def day_after_event(spark, sf_dir):
-    cal = SalesPanel(spark, sf_dir).calendar()
+    cal = SalesPanel(spark, sf_dir).calendar_scan()
     ev = cal.filter(F.col("event_name_1") == "Thanksgiving")
     return enrich.day_after(cal.select("date"), ev, "after_thanksgiving")
 
@@ -171,7 +179,7 @@ SELECT a.year, a.date AS thanksgiving, b.date AS christmas
 FROM (SELECT year, date FROM calendar WHERE event_name_1 = 'Thanksgiving') a
 JOIN (SELECT year, date FROM calendar WHERE event_name_1 = 'Christmas') b USING (year)"""))
 def event_date_pairs(spark, sf_dir):
-    cal = SalesPanel(spark, sf_dir).calendar()
+    cal = SalesPanel(spark, sf_dir).calendar_scan()
     a = cal.filter(F.col("event_name_1") == "Thanksgiving").select("year", F.col("date").alias("thanksgiving"))
     b = cal.filter(F.col("event_name_1") == "Christmas").select("year", F.col("date").alias("christmas"))
     return a.join(b, "year")
@@ -186,7 +194,7 @@ enriched AS (
 
 
 def enriched(p: SalesPanel):
-    return enrich.with_price(enrich.with_calendar(p.sales(), p.calendar()), p.prices())
+    return enrich.with_price_by_item(enrich.with_calendar(p.sales(), p.calendar()), p.prices().drop("store_id"))
 
 
 @query("fill_defaults", with_panel("""
@@ -244,7 +252,7 @@ UNION ALL SELECT 'only_second', count(*) FROM calendar WHERE event_name_1 IS NUL
 UNION ALL SELECT 'name_type_mismatch', count(*) FROM calendar
   WHERE (event_name_1 IS NULL) <> (event_type_1 IS NULL) OR (event_name_2 IS NULL) <> (event_type_2 IS NULL)"""))
 def null_patterns(spark, sf_dir):
-    cal = SalesPanel(spark, sf_dir).calendar()
+    cal = SalesPanel(spark, sf_dir).calendar_scan()
     n1, n2 = F.col("event_name_1").isNull(), F.col("event_name_2").isNull()
     t1, t2 = F.col("event_type_1").isNull(), F.col("event_type_2").isNull()
     counts = cal.agg(
@@ -265,5 +273,5 @@ SELECT date, CAST(date_diff('day', lo, date) + 1 AS INTEGER) AS day_no, d FROM c
 def day_ids(spark, sf_dir):
     p = SalesPanel(spark, sf_dir)
     first = p.first_day()
-    return p.calendar().select("date", (F.datediff("date", first) + 1).alias("day_no"),
+    return p.calendar_scan().select("date", (F.datediff("date", first) + 1).alias("day_no"),
                                reshape.day_label("date", first).alias("d"))

@@ -73,7 +73,15 @@ SELECT model, round(big, 6) * (1.0 / 2.220446049250313e-16) / n + round(small, 6
          sum(CASE WHEN abs(y) >= 2.220446049250313e-16 THEN abs(y - yhat) / abs(y) ELSE 0.0 END) AS small, count(*) AS n
   FROM aligned GROUP BY model)""", FAMILY_CTES))
 def mape(spark, sf_dir):
-    return score.pooled_errors(family_aligned(spark, sf_dir)).select("model", "mape")
+    sums = family_aligned(spark, sf_dir).groupBy("model").agg(*score.mape_parts())
+    # values near 2^52: the sums are rounded here so that the order of summing does not show
+    return sums.select("model", score.mape_value(F.round("_mape_big", 6), F.round("_mape_small", 6)).alias("mape"))
+
+
+@query("wape", with_panel("""
+SELECT model, round(sum(abs(y - yhat)) / sum(abs(y)), 6) AS wape FROM aligned GROUP BY model""", FAMILY_CTES))
+def wape(spark, sf_dir):
+    return _r6(score.pooled_errors(family_aligned(spark, sf_dir)).select("model", "wape"), "wape")
 
 
 @query("poisson_deviance", with_panel("""
@@ -86,16 +94,19 @@ def poisson_deviance(spark, sf_dir):
 
 
 @query("leaderboard", with_panel("""
-SELECT a.model, a.rmse, a.n_items, b.rmse_per_day, b.n_days, c.rmse_pooled, c.mae
-FROM (""" + _PER_ITEM + """) a JOIN (""" + _PER_DAY + """) b USING (model)
-JOIN (SELECT model, round(sqrt(avg((y - yhat) ^ 2)), 6) AS rmse_pooled, round(avg(abs(y - yhat)), 6) AS mae
-      FROM aligned GROUP BY model) c USING (model)
-ORDER BY a.rmse""", FAMILY_CTES))
+SELECT a.model, a.rmse, a.n_items, b.rmse_per_day, b.n_days, c.rmse_pooled, c.mae, c.n_absent
+FROM (""" + _PER_ITEM.replace("aligned", "whole") + """) a JOIN (""" + _PER_DAY.replace("aligned", "whole") + """) b USING (model)
+JOIN (SELECT model, round(sqrt(avg((y - yhat) ^ 2)), 6) AS rmse_pooled, round(avg(abs(y - yhat)), 6) AS mae,
+             CAST(sum(absent) AS BIGINT) AS n_absent FROM whole GROUP BY model) c USING (model)
+ORDER BY a.rmse""", FAMILY_CTES + """,
+whole AS MATERIALIZED (SELECT m.model, t.item_id, t.date, t.sales_amount AS y, coalesce(f.mean, 0.0) AS yhat, CAST(f.mean IS NULL AS INTEGER) AS absent
+  FROM (SELECT DISTINCT model FROM family) m CROSS JOIN test t
+  LEFT JOIN family f ON f.model = m.model AND f.item_id = t.item_id AND f.date = t.date)"""))
 def leaderboard(spark, sf_dir):
     p = SalesPanel(spark, sf_dir)
     lb = score.leaderboard(naive.naive_family(p.train()), p.test())
     return _r6(lb, "rmse", "rmse_per_day", "rmse_pooled", "mae").select(
-        "model", "rmse", "n_items", "rmse_per_day", "n_days", "rmse_pooled", "mae")
+        "model", "rmse", "n_items", "rmse_per_day", "n_days", "rmse_pooled", "mae", "n_absent")
 
 
 @query("negative_forecasts", with_panel("""

@@ -12,20 +12,20 @@ from tillcast.operators.forecast import naive
 from tillcast.plans.oracle import with_panel
 from tillcast.plans.q_features import FEATURE_CTES, PCT, feature_table
 from tillcast.plans.q_forecast import FAMILY_CTES
-from tillcast.plans.q_reshape import _TEST_LONG, test_wide
+from tillcast.plans.q_reshape import _SALES_LONG, _pivot_sql, sales_wide
 from tillcast.plans.registry import query
 from tillcast.sources import files
+from tillcast.session import reliable_checkpoint
 from tillcast.sources.panel import SalesPanel
 
 
-@query("scan_csv", with_panel(_TEST_LONG))
+@query("scan_csv", with_panel(_SALES_LONG))
 def scan_csv(spark, sf_dir):
     """Wide actuals written as CSV, read back with a declared schema, melted."""
     p = SalesPanel(spark, sf_dir)
-    labels = p.test_labels()
     path = files.scratch_path(spark, "csv")
-    files.write_csv(test_wide(p), path)
-    back = files.read_csv(spark, path, files.wide_schema("id", labels))
+    files.write_csv(sales_wide(p), path)
+    back = files.read_csv(spark, path, files.wide_schema("id", p.day_labels()))
     return reshape.melt(back, ["id"], prefix="d_", var_name="d", value_name="sales")
 
 
@@ -70,9 +70,9 @@ def scan_forecast_dir(spark, sf_dir):
     return out.withColumn("rmse", F.round("rmse", 6))
 
 
-def _features_snapshot(spark, sf_dir):
+def _features_snapshot(spark, p: SalesPanel):
     path = files.scratch_path(spark, "features")
-    files.write_parquet(feature_table(spark, sf_dir), path)
+    files.write_parquet(feature_table(p), path)
     return path
 
 
@@ -82,21 +82,20 @@ def _features_snapshot(spark, sf_dir):
 def scan_features(spark, sf_dir):
     """Partitioned parquet snapshot read back with a date filter (pruned by year/month)."""
     p = SalesPanel(spark, sf_dir)
-    snap = files.read_parquet(spark, _features_snapshot(spark, sf_dir))
-    out = snap.filter(F.col("date") > p.train_end())
+    out = files.read_parquet(spark, _features_snapshot(spark, p), after=p.train_end())
     for c in PCT:
         out = out.withColumn(c, F.round(c, 6))
     return out
 
 
-@query("write_features")
+@query("write_features", with_panel('SELECT year, month, count(*) AS "rows" FROM features GROUP BY year, month', FEATURE_CTES))
 def write_features(spark, sf_dir):
     """Rows per written (year, month) partition of the feature snapshot."""
-    snap = files.read_parquet(spark, _features_snapshot(spark, sf_dir))
+    snap = files.read_parquet(spark, _features_snapshot(spark, SalesPanel(spark, sf_dir)))
     return snap.groupBy("year", "month").agg(F.count("*").alias("rows"))
 
 
-@query("write_submission")
+@query("write_submission", with_panel(_pivot_sql("family", "model, id"), FAMILY_CTES))
 def write_submission(spark, sf_dir):
     """Per-model wide submissions written as CSV partitioned by model, read back."""
     p = SalesPanel(spark, sf_dir)
@@ -111,7 +110,7 @@ def write_submission(spark, sf_dir):
 
 
 @query("stream_leaderboard", with_panel("""
-SELECT a.model, a.rmse, a.n_items, b.rmse_per_day, b.n_days, c.rmse_pooled, c.mae
+SELECT a.model, a.rmse, a.n_items, b.rmse_per_day, b.n_days, c.rmse_pooled, c.mae, CAST(0 AS BIGINT) AS n_absent
 FROM (SELECT model, round(avg(rmse), 6) AS rmse, count(*) AS n_items
       FROM (SELECT model, item_id, sqrt(avg((y - yhat) ^ 2)) AS rmse FROM aligned GROUP BY model, item_id) GROUP BY model) a
 JOIN (SELECT model, round(avg(rmse_day), 6) AS rmse_per_day, count(*) AS n_days
@@ -126,7 +125,7 @@ def stream_leaderboard(spark, sf_dir):
 
     p = SalesPanel(spark, sf_dir)
     folder = write_forecast_folder(spark, p)
-    lb = forecast_stream.run_once(spark, folder, p.test(), files.scratch_path(spark, "stream"))
+    lb = forecast_stream.run_once(spark, folder, reliable_checkpoint(p.test()), files.scratch_path(spark, "stream"))
     return lb.select("model", F.round("rmse", 6).alias("rmse"), "n_items",
                      F.round("rmse_per_day", 6).alias("rmse_per_day"), "n_days",
-                     F.round("rmse_pooled", 6).alias("rmse_pooled"), F.round("mae", 6).alias("mae"))
+                     F.round("rmse_pooled", 6).alias("rmse_pooled"), F.round("mae", 6).alias("mae"), "n_absent")

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,17 +60,32 @@ def read_csv_folder(spark: SparkSession, folder: str, schema: T.StructType, tag:
     ``input_file_name()``, evaluated per file on the executors."""
     df = (spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True)
           .option("pathGlobFilter", "*.csv").csv(folder))
-    path = F.input_file_name()
-    in_folder = F.regexp_extract(path, r"([^/]+)\.csv/part-[^/]*$", 1)
-    plain = F.regexp_extract(path, r"([^/]+?)\.csv$", 1)
-    return df.withColumn(tag, F.coalesce(F.nullif(in_folder, F.lit("")), plain))
+    return df.withColumn(tag, name_from_path())
 
 
 def write_parquet(df: DataFrame, path: str, partition_by=("year", "month"), mode: str = "overwrite") -> None:
-    """Partitioned parquet snapshot (S5); later date filters prune folders."""
+    """Partitioned parquet snapshot (S5). Rows meet by folder first, so each
+    folder gets a few files; the date spreads a large folder over tasks."""
+    if partition_by:
+        df = df.repartition(*partition_by, *(["date"] if "date" in df.columns else []))
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet snapshot (S4): column pruning and filters reach the scan."""
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str, after: Column | None = None) -> DataFrame:
+    """Parquet snapshot (S4): column pruning and filters reach the scan.
+
+    ``after`` keeps later dates; the year and month it implies prune the
+    folders of a snapshot partitioned by them.
+    """
+    df = spark.read.parquet(path)
+    if after is None:
+        return df
+    month = F.year(after) * 100 + F.month(after)
+    return df.filter((F.col("year") * 100 + F.col("month") >= month) & (F.col("date") > after))
+
+
+def name_from_path() -> Column:
+    """The forecast's name: the CSV file's, or that of its Spark-written folder."""
+    path = F.input_file_name()
+    in_folder = F.regexp_extract(path, r"([^/]+)\.csv/part-[^/]*$", 1)
+    return F.coalesce(F.nullif(in_folder, F.lit("")), F.regexp_extract(path, r"([^/]+?)\.csv$", 1))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.functions import dates as D
-from tillcast.session import reliable_checkpoint
+from tillcast.session import reliable_checkpoint, ship_package
 
 # Fixed values of the panel definition.
 STORE_ID = "TX_3"
@@ -54,6 +54,7 @@ class SalesPanel:
                  horizon: int = HORIZON):
         if item_grain not in ("brand_type", "part"):
             raise ValueError(item_grain)
+        ship_package(spark)
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.item_grain = item_grain
@@ -93,13 +94,21 @@ class SalesPanel:
         return F.lit(self.bounds_values()[1])
 
     def bounds_values(self):
-        """(first, last) sale date as Python dates, read from the daily
-        checkpoint (one aggregate row), so no plan re-scans the facts."""
+        """(first, last) ship date as Python dates: one aggregate row over
+        the date column of all lines, whether or not their part is known."""
         if getattr(self, "_bounds", None) is None:
-            r = self.daily().agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+            r = self._bounds_row().first()
             self._bounds = (r["lo"], r["hi"])
         return self._bounds
 
+    def _bounds_row(self) -> DataFrame:
+        return self.lines().agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+
+    def day_labels(self) -> list[str]:
+        """``d_N`` labels of every day of the history, in order."""
+        lo, hi = self.bounds_values()
+        return [f"d_{n}" for n in range(1, (hi - lo).days + 2)]
+
     def test_labels(self) -> list[str]:
         """``d_N`` labels of the held-out days, in order."""
         lo, hi = self.bounds_values()
@@ -140,7 +149,7 @@ class SalesPanel:
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         return df.repartition(n, "item_id")
 
-    def sales(self) -> DataFrame:
+    def sales(self, since: Column | None = None) -> DataFrame:
         """Dense long sales: item_id, date, sales_amount (0 on days without sales).
 
         Only the sparse daily rows move (hash-partitioned by item); the zero
@@ -148,12 +157,15 @@ class SalesPanel:
         ``explode(sequence(...))`` and merged by an aggregation that needs no
         further shuffle. The dense panel is never shuffled, and it comes out
         hash-partitioned by item, which every later per-item window reuses.
+        ``since`` builds the days from that date on only.
         """
+        first = self.first_day() if since is None else since
+        daily = self.daily() if since is None else self.daily().filter(F.col("date") >= since)
         grid = self._by_item(self.items().select("item_id")).select(
             "item_id",
-            F.explode(F.sequence(self.first_day(), self.last_day())).alias("date"),
+            F.explode(F.sequence(first, self.last_day())).alias("date"),
             F.lit(0.0).alias("qty"))
-        f = self._by_item(self.daily().select("item_id", "date", "qty"))
+        f = self._by_item(daily.select("item_id", "date", "qty"))
         return (grid.unionByName(f).groupBy("item_id", "date")
                 .agg(F.sum("qty").alias("sales_amount")))
 
@@ -161,7 +173,7 @@ class SalesPanel:
         return self.sales().filter(F.col("date") <= self.train_end())
 
     def test(self) -> DataFrame:
-        return self.sales().filter(F.col("date") >= self.test_start())
+        return self.sales(since=self.test_start())
 
     def prices(self) -> DataFrame:
         """store_id, item_id, wm_yr_wk, sell_price in whole cents.
@@ -176,8 +188,16 @@ class SalesPanel:
                 .select(F.lit(STORE_ID).alias("store_id"), "item_id", "wm_yr_wk",
                         (F.floor(F.col("c") / F.col("u")) / F.lit(100.0).cast("double")).alias("sell_price")))
 
+    def calendar_scan(self) -> DataFrame:
+        """The calendar as a plan over the lines' own dates: one aggregate of
+        the date column, then a row for each day between its ends."""
+        days = self._bounds_row().select(
+            F.explode(F.sequence("lo", F.date_add("hi", CALENDAR_EXTRA_DAYS))).alias("date"), "lo")
+        return calendar_columns(days, F.col("lo")).drop("lo")
+
     def calendar(self) -> DataFrame:
-        """One row per day; bounded by the date range, never by the fact count."""
+        """One row per day from the known bounds, for joins with the panel
+        (no further scan of the facts); bounded by the date range."""
         lo, hi = self.bounds_values()
         n_days = (hi - lo).days + 1 + CALENDAR_EXTRA_DAYS
         days = self.spark.range(0, n_days, numPartitions=1).select(
