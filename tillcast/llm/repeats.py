@@ -17,27 +17,34 @@ through the passes as one suffix:
    one's end: if they occur again, all windows of the run are repeated;
 3. what is left open is split into its single windows, compared whole.
 
-Pass 1 uses 64-bit hashes (a collision only keeps a run in play), passes 2
-and 3 128-bit hashes. Every pass sends one row for each distinct value of a
-chunk of text, so a passage that a third of all documents hold costs a row a
-chunk; verdicts go back to the chunks. Texts are stored once, compressed, as
-chunks in the shared folder, and every step reads those.
+Pass 1 uses 64-bit hashes (a collision only keeps a run in play), pass 2
+128-bit and pass 3 96-bit ones. Every pass sends one row for each distinct
+value of a chunk of text, so a passage that a third of all documents hold
+costs a row a chunk; verdicts go back to the chunks.
+
+Texts are stored once, compressed, as chunks of a table bucketed by the map
+task that read them. All passes read that table where it lies; only keys and
+verdicts are shuffled.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import BASE, BYTE_NUMBERS, mix64, pieces, powers, ragged, text_buffers, written
+from tillcast.llm.common import BASE, BYTE_NUMBERS, mix64, pieces, powers, ragged, shuffle_parts, text_buffers, written
+from tillcast.session import checkpoint_dir, ship_package
 
 LENGTH, GRAM = 200, 64
 
-_CHUNK = "chunk long, blob binary, sizes binary, ids array<long>"
-_KEY = "k1 long, k2 long, low long, high long, chunk long, code long"
-_FOUND = "chunk long, start long, stop long, k1 long, k2 long"
+_CHUNK = "slot int, chunk int, blob binary, sizes binary, ids array<long>"
+_GRAM = "k1 long, slot int, code long"
+_RUN = "k1 long, k2 long, low long, high long, slot int, code long"
+_WINDOW = "k1 long, k2 int, slot int, code long"
 _INVERSE = pow(BASE, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
 
@@ -87,6 +94,8 @@ def digests(view: memoryview, starts: np.ndarray, stops: np.ndarray) -> np.ndarr
     """128-bit hashes of byte ranges, two numbers each."""
     from xxhash import xxh3_128_digest
 
+    if not len(starts):
+        return np.zeros((0, 2), np.int64)
     got = b"".join([xxh3_128_digest(view[a:b]) for a, b in zip(starts.tolist(), stops.tolist(), strict=True)])
     return np.frombuffer(got, np.int64).reshape(-1, 2)
 
@@ -103,15 +112,15 @@ def _store(batches):
     from pyspark import TaskContext
     from zstandard import ZstdCompressor
 
-    pack = ZstdCompressor(level=1)
-    chunk = TaskContext.get().partitionId() << 40
-    for piece in pieces(batches, 1):
+    pack = ZstdCompressor(level=3)
+    slot = TaskContext.get().partitionId()
+    for chunk, piece in enumerate(pieces(batches, 1)):
         offsets, raw = text_buffers(piece.column(1))
         blob = pack.compress(raw[offsets[0]:offsets[-1]].tobytes())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([chunk], pa.int64()), pa.array([blob], pa.binary()), pa.array([np.diff(offsets).astype(np.int64).tobytes()], pa.binary()),
-             pa.array([piece.column(0).to_pylist()], pa.list_(pa.int64()))], names=["chunk", "blob", "sizes", "ids"])
-        chunk += 1
+            [pa.array([slot], pa.int32()), pa.array([chunk], pa.int32()), pa.array([blob], pa.binary()),
+             pa.array([np.diff(offsets).astype(np.int64).tobytes()], pa.binary()),
+             pa.array([piece.column(0).to_pylist()], pa.list_(pa.int64()))], names=["slot", "chunk", "blob", "sizes", "ids"])
 
 
 def _load(blob: bytes, sizes: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -131,81 +140,153 @@ def _spread(which: np.ndarray, groups: int, values: np.ndarray) -> tuple[np.ndar
     return low, high
 
 
-def _keys(length: int, gram: int):
-    """Passes 1 and 2: a row for each distinct gram (code even; with the least and largest run below it) and
-    for each distinct run (code odd) of a chunk, numbered by the first run that has it."""
-    def keys(batches):
-        for batch in batches:
-            for chunk, blob, sizes in zip(*(batch.column(c).to_pylist() for c in ("chunk", "blob", "sizes")), strict=True):
-                offsets, raw = _load(blob, sizes)
-                first, last, grams = runs(offsets, raw, length, gram)
-                if not len(first):
-                    continue
-                whole = digests(memoryview(raw), first, last + length)
-                g, which, _ = distinct(grams)
-                w, _, _ = distinct(whole)
-                low, high = _spread(which, len(g), whole[:, 0])
-                no = np.concatenate([np.zeros(len(g), bool), np.ones(len(w), bool)])
-                blank = np.zeros(len(w), np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([grams[g].astype(np.int64), whole[w, 0]])),
-                     pa.array(np.concatenate([np.zeros(len(g), np.int64), whole[w, 1] | 1])),
-                     pa.array(np.concatenate([low, blank]), mask=no), pa.array(np.concatenate([high, blank]), mask=no),
-                     pa.array(np.full(len(g) + len(w), chunk, np.int64)),
-                     pa.array(np.concatenate([g * 2, w * 2 + 1]))], names=["k1", "k2", "low", "high", "chunk", "code"])
-    return keys
-
-
-def _settle(length: int, gram: int):
-    """Verdicts of passes 1 and 2 for a chunk: repeated ranges, and the windows that pass 3 has to compare.
-
-    Those are the windows of open runs and, below grams that several different
-    runs share, one copy of every run, as an open run may repeat part of it.
+class Chunk:
+    """A chunk's text and how far the passes have told its windows apart.
+
+    Verdicts are numbers of runs (or starts of windows) of this chunk whose
+    key another chunk holds too; equal keys inside the chunk are found here.
     """
-    def settle(stored: pa.Table, shared: pa.Table) -> pa.Table:
-        rows = [np.zeros((0, 2), np.int64)]
-        starts, keys = np.zeros(0, np.int64), np.zeros((0, 2), np.int64)
-        chunk = stored.column("chunk")[0].as_py() if stored.num_rows else None
-        if chunk is not None:
-            offsets, raw = _load(stored.column("blob")[0].as_py(), stored.column("sizes")[0].as_py())
-            first, last, grams = runs(offsets, raw, length, gram)
-            code = shared.column("code").to_numpy()
-            mixed_code = code[shared.column("mixed").to_numpy(zero_copy_only=False).astype(bool) & (code % 2 == 0)]
-            if len(first):
-                view = memoryview(raw)
-                _, gram_of, count = distinct(grams)
-                again = count > 1
-                again[gram_of[code[code % 2 == 0] // 2]] = True
-                alive = np.flatnonzero(again[gram_of])
-                mixed = np.zeros(len(count), bool)
-                mixed[gram_of[mixed_code // 2]] = True
-                whole = digests(view, first[alive], last[alive] + length)
-                if len(alive):
-                    low, high = _spread(gram_of[alive], len(count), whole[:, 0])
-                    mixed |= low < high
-                    at, which, count = distinct(whole)
-                    again = count > 1
-                    again[which[np.searchsorted(alive, code[code % 2 == 1] // 2)]] = True
-                    done = again[which]
-                    rows.append(np.stack([first[alive[done]], last[alive[done]] + length], 1))
-                    one = np.zeros(len(alive), bool)
-                    one[at] = True
-                    left = alive[~done | (one & mixed[gram_of[alive]])]
-                    starts = ragged(first[left], last[left] - first[left] + 1)
-                    keys = digests(view, starts, starts + length)
-                    at, which, count = distinct(keys)
-                    twice = starts[(count > 1)[which]]
-                    rows.append(np.stack([twice, twice + length], 1))
-                    starts, keys = starts[at], keys[at]
-        done = _merge(np.concatenate(rows))
-        n, m = len(done), len(starts)
-        no = np.concatenate([np.ones(n, bool), np.zeros(m, bool)])
-        blank = np.zeros(n, np.int64)
-        return pa.table({
-            "chunk": pa.array([chunk] * (n + m), pa.int64()),
-            "start": pa.array(np.concatenate([done[:, 0], starts])), "stop": pa.array(np.concatenate([done[:, 1], starts + length])),
-            "k1": pa.array(np.concatenate([blank, keys[:, 0]]), mask=no), "k2": pa.array(np.concatenate([blank, keys[:, 1]]), mask=no)})
-    return settle
+
+    def __init__(self, blob: bytes, sizes: bytes, length: int, gram: int):
+        self.offsets, self.raw = _load(blob, sizes)
+        self.view, self.length = memoryview(self.raw), length
+        self.first, self.last, self.grams = runs(self.offsets, self.raw, length, gram)
+        self.ranges = [np.zeros((0, 2), np.int64)]
+
+    def gram_keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """Pass 1: the distinct grams, and the first run that has each."""
+        at, _, _ = distinct(self.grams)
+        return self.grams[at].astype(np.int64), at
+
+    def after_grams(self, shared: np.ndarray) -> None:
+        """Runs whose gram occurs again stay."""
+        _, of, count = distinct(self.grams)
+        again = count > 1
+        again[of[shared]] = True
+        self.alive = np.flatnonzero(again[of])
+        _, self.gram_of, _ = distinct(self.grams[self.alive])
+        self.whole = digests(self.view, self.first[self.alive], self.last[self.alive] + self.length)
+        groups = int(self.gram_of.max()) + 1 if len(self.alive) else 0
+        self.low, self.high = _spread(self.gram_of, groups, self.whole[:, 0])
+
+    def run_keys(self):
+        """Pass 2: (k1, k2, low, high, none, code): the grams with the least and largest run below them (code even),
+        and the distinct runs (code odd), numbered by the first living run that has them."""
+        g, _, _ = distinct(self.gram_of)
+        w, _, _ = distinct(self.whole)
+        blank = np.zeros(len(w), np.int64)
+        return (np.concatenate([self.grams[self.alive[g]].astype(np.int64), self.whole[w, 0]]),
+                np.concatenate([np.zeros(len(g), np.int64), self.whole[w, 1] | 1]),
+                np.concatenate([self.low, blank]), np.concatenate([self.high, blank]),
+                np.concatenate([np.zeros(len(g), bool), np.ones(len(w), bool)]), np.concatenate([g * 2, w * 2 + 1]))
+
+    def after_runs(self, code: np.ndarray, mixed: np.ndarray, chosen: np.ndarray) -> None:
+        """Runs that occur again are repeated ranges. In play stay the others and, below grams that several
+        different runs share, one copy of each repeated run (that of the ``chosen`` chunk): an open run may repeat part of it."""
+        several = self.low < self.high
+        several[self.gram_of[code[mixed & (code % 2 == 0)] // 2]] = True
+        at, of, count = distinct(self.whole)
+        again, mine = count > 1, np.ones(len(count), bool)
+        odd = code % 2 == 1
+        again[of[code[odd] // 2]] = True
+        mine[of[code[odd & ~chosen] // 2]] = False
+        done = again[of] if len(of) else np.zeros(0, bool)
+        runs_done = self.alive[done]
+        self.ranges.append(np.stack([self.first[runs_done], self.last[runs_done] + self.length], 1))
+        one = np.zeros(len(self.alive), bool)
+        one[at[mine]] = True
+        left = self.alive[~done | (one & several[self.gram_of])]
+        self.starts = ragged(self.first[left], self.last[left] - self.first[left] + 1)
+        self.keys = digests(self.view, self.starts, self.starts + self.length)
+
+    def window_keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pass 3: the distinct windows in play, and where each starts first."""
+        at, _, _ = distinct(self.keys)
+        return self.keys[at, 0], self.keys[at, 1].astype(np.int32), self.starts[at]
+
+    def after_windows(self, shared: np.ndarray) -> None:
+        """Windows that occur again are repeated ranges."""
+        _, of, count = distinct(self.keys)
+        again = count > 1
+        again[of[np.searchsorted(self.starts, shared)]] = True
+        starts = self.starts[again[of]] if len(of) else self.starts
+        self.ranges.append(np.stack([starts, starts + self.length], 1))
+
+    def gone(self) -> np.ndarray:
+        """Which bytes a repeated window covers."""
+        step = np.zeros(len(self.raw) + 1, np.int32)
+        ranges = _merge(np.concatenate(self.ranges))
+        np.add.at(step, ranges[:, 0], 1)
+        np.add.at(step, ranges[:, 1], -1)
+        return np.cumsum(step)[:-1] > 0
+
+
+def _chunks(stored: pa.Table, verdicts: pa.Table | None, passes: int, length: int, gram: int):
+    """The chunks of a slot, taken through the first ``passes`` passes."""
+    if verdicts is not None:
+        level, code = verdicts.column("level").to_numpy(), verdicts.column("code").to_numpy()
+        flags = [verdicts.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("mixed", "chosen")]
+    for row, (number, blob, sizes) in enumerate(zip(*(stored.column(c).to_pylist() for c in ("chunk", "blob", "sizes")), strict=True)):
+        c = Chunk(blob, sizes, length, gram)
+        if passes and len(c.first):
+            mine = [np.flatnonzero((level == k) & (code >> 32 == number)) for k in (1, 2, 3)]
+            own = [code[m] & 0xFFFFFFFF for m in mine]
+            c.after_grams(own[0])
+            if passes > 1:
+                c.after_runs(own[1], flags[0][mine[1]], flags[1][mine[1]])
+            if passes > 2:
+                c.after_windows(own[2])
+        yield row, number, c
+
+
+def _grams(length: int, gram: int):
+    def grams(batches):
+        for batch in batches:
+            stored = pa.Table.from_batches([batch])
+            slots = stored.column("slot").to_pylist()
+            for row, number, c in _chunks(stored, None, 0, length, gram):
+                k, at = c.gram_keys()
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(np.full(len(k), slots[row], np.int32)), pa.array((number << 32) | at)],
+                                                 names=["k1", "slot", "code"])
+    return grams
+
+
+def _slot_rows(columns: list[list[np.ndarray]], names: list[str], types: list[pa.DataType], slot: int | None) -> pa.Table:
+    """One table from the columns of each chunk; the slot is the same for all."""
+    joined = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in columns]
+    out = {n: pa.array(c, t) for n, c, t in zip(names, joined, types, strict=True)}
+    out["slot"] = pa.array([slot] * len(joined[0]), pa.int32())
+    return pa.table(out)
+
+
+def _runs(length: int, gram: int):
+    def run_rows(stored: pa.Table, verdicts: pa.Table) -> pa.Table:
+        cols: list[list] = [[], [], [], [], [], []]
+        for _, number, c in _chunks(stored, verdicts, 1, length, gram):
+            if len(c.first):
+                k1, k2, low, high, no, code = c.run_keys()
+                for col, x in zip(cols, (k1, k2, low, high, no, (number << 32) | code), strict=True):
+                    col.append(x)
+        slot = stored.column("slot")[0].as_py() if stored.num_rows else None
+        t = _slot_rows([cols[0], cols[1], cols[5]], ["k1", "k2", "code"], [pa.int64()] * 3, slot)
+        no = np.concatenate(cols[4]) if cols[4] else np.zeros(0, bool)
+        for n, c in (("low", cols[2]), ("high", cols[3])):
+            t = t.append_column(n, pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64(), mask=no))
+        return t.select(["k1", "k2", "low", "high", "slot", "code"])
+    return run_rows
+
+
+def _windows(length: int, gram: int):
+    def window_rows(stored: pa.Table, verdicts: pa.Table) -> pa.Table:
+        cols: list[list] = [[], [], []]
+        for _, number, c in _chunks(stored, verdicts, 2, length, gram):
+            if len(c.first):
+                k1, k2, start = c.window_keys()
+                for col, x in zip(cols, (k1, k2, (number << 32) | start), strict=True):
+                    col.append(x)
+        slot = stored.column("slot")[0].as_py() if stored.num_rows else None
+        return _slot_rows(cols, ["k1", "k2", "code"], [pa.int64(), pa.int32(), pa.int64()], slot).select(["k1", "k2", "slot", "code"])
+    return window_rows
 
 
 def _merge(ranges: np.ndarray) -> np.ndarray:
@@ -220,32 +301,34 @@ def _merge(ranges: np.ndarray) -> np.ndarray:
     return np.stack([ranges[at, 0], reach[np.append(at[1:], len(ranges)) - 1]], 1)
 
 
-def _cut(stored: pa.Table, ranges: pa.Table) -> pa.Table:
-    """The documents of a chunk without the ranges."""
-    out: dict[str, list] = {"doc_id": [], "n_bytes": [], "spans": [], "kept": []}
-    if stored.num_rows:
-        offsets, raw = _load(stored.column("blob")[0].as_py(), stored.column("sizes")[0].as_py())
-        step = np.zeros(len(raw) + 1, np.int32)
-        if ranges.num_rows:
-            np.add.at(step, ranges.column("start").to_numpy(), 1)
-            np.add.at(step, ranges.column("stop").to_numpy(), -1)
-        gone = np.cumsum(step)[:-1] > 0
-        for doc_id, a, b in zip(stored.column("ids")[0].as_py(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-            mask = gone[a:b]
-            edge = np.flatnonzero(np.diff(mask.astype(np.int8), prepend=0, append=0)) if mask.any() else np.zeros(0, np.int64)
-            out["doc_id"].append(doc_id)
-            out["n_bytes"].append(b - a)
-            out["spans"].append([{"start": s, "stop": e} for s, e in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)])
-            out["kept"].append(raw[a:b][~mask].tobytes() if len(edge) else raw[a:b].tobytes())
-    span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-    return pa.table({"doc_id": pa.array(out["doc_id"], pa.int64()), "n_bytes": pa.array(out["n_bytes"], pa.int64()),
-                     "spans": pa.array(out["spans"], span), "kept": pa.array(out["kept"], pa.binary())})
-
-
-def repeated(keys: DataFrame) -> DataFrame:
-    """The rows of ``keys`` whose (k1, k2) other rows have too; a row for each chunk at most, so groups are small."""
-    times = F.count("*").over(Window.partitionBy("k1", "k2"))
-    return keys.withColumn("times", times).where("times > 1").drop("times")
+def _cut(length: int, gram: int):
+    def cut(stored: pa.Table, verdicts: pa.Table) -> pa.Table:
+        """The documents of a slot without the repeated bytes."""
+        out: dict[str, list] = {"doc_id": [], "n_bytes": [], "spans": [], "kept": []}
+        for row, _, c in _chunks(stored, verdicts, 3, length, gram):
+            gone = c.gone()
+            for doc_id, a, b in zip(stored.column("ids")[row].as_py(), c.offsets[:-1].tolist(), c.offsets[1:].tolist(), strict=True):
+                mask = gone[a:b]
+                edge = np.flatnonzero(np.diff(mask.astype(np.int8), prepend=0, append=0)) if mask.any() else np.zeros(0, np.int64)
+                out["doc_id"].append(doc_id)
+                out["n_bytes"].append(b - a)
+                out["spans"].append([{"start": s, "stop": e} for s, e in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)])
+                out["kept"].append(c.raw[a:b][~mask].tobytes() if len(edge) else c.raw[a:b].tobytes())
+        span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+        return pa.table({"doc_id": pa.array(out["doc_id"], pa.int64()), "n_bytes": pa.array(out["n_bytes"], pa.int64()),
+                         "spans": pa.array(out["spans"], span), "kept": pa.array(out["kept"], pa.binary())})
+    return cut
+
+
+def _stored(src: DataFrame) -> DataFrame:
+    """The chunks as a table bucketed by slot, in the shared folder: passes read a slot where it lies, without an exchange."""
+    spark = src.sparkSession
+    ship_package(spark)
+    name = f"tillcast_chunks_{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    (src.mapInArrow(_store, _CHUNK).write.format("parquet").option("compression", "none").bucketBy(shuffle_parts(spark), "slot")
+     .option("path", path).saveAsTable(name))
+    return spark.table(name)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -258,17 +341,29 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     if not 1 <= gram <= length:
         raise ValueError("gram must be between 1 and length")
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    stored = written(src.mapInArrow(_store, _CHUNK), "chunks")
-    keys = stored.select("chunk", "blob", "sizes").mapInArrow(_keys(length, gram), _KEY)
+    stored = _stored(src)
+    lean = stored.select("slot", "chunk", "blob", "sizes")
+    no = F.lit(False)
+
+    def advance(verdicts: DataFrame, function, schema: str) -> DataFrame:
+        return lean.groupBy("slot").cogroup(verdicts.groupBy("slot")).applyInArrow(function(length, gram), schema)
+
+    # a row for each chunk at most, so the groups of these windows are small
+    group = Window.partitionBy("k1")
+    grams = lean.mapInArrow(_grams(length, gram), _GRAM).withColumn("times", F.count("*").over(group)).where("times > 1")
+    verdicts = written(grams.select("slot", F.lit(1).alias("level"), "code", no.alias("mixed"), no.alias("chosen")), "grams")
+
     group = Window.partitionBy("k1", "k2")
-    mixed = F.coalesce(F.min("low").over(group) < F.max("high").over(group), F.lit(False))
-    shared = repeated(keys.withColumn("mixed", mixed)).select("chunk", "code", "mixed")
-    found = written(stored.select("chunk", "blob", "sizes").groupBy("chunk").cogroup(shared.groupBy("chunk"))
-                    .applyInArrow(_settle(length, gram), _FOUND), "found")
-    windows = repeated(found.where("k1 is not null"))
-    ranges = found.where("k1 is null").unionByName(windows).select("chunk", "start", "stop")
-    return stored.groupBy("chunk").cogroup(ranges.groupBy("chunk")).applyInArrow(
-        _cut, "doc_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")
+    place = F.struct("slot", "code")
+    found = (advance(verdicts, _runs, _RUN)
+             .withColumns({"times": F.count("*").over(group), "mixed": F.coalesce(F.min("low").over(group) < F.max("high").over(group), no),
+                           "chosen": place == F.min(place).over(group)}).where("times > 1"))
+    verdicts = verdicts.unionByName(written(found.select("slot", F.lit(2).alias("level"), "code", "mixed", "chosen"), "runs"))
+
+    found = advance(verdicts, _windows, _WINDOW).withColumn("times", F.count("*").over(group)).where("times > 1")
+    verdicts = verdicts.unionByName(written(found.select("slot", F.lit(3).alias("level"), "code", no.alias("mixed"), no.alias("chosen")), "windows"))
+    return stored.groupBy("slot").cogroup(verdicts.groupBy("slot")).applyInArrow(
+        _cut(length, gram), "doc_id long, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")
 
 
 def query(docs: DataFrame) -> DataFrame:
