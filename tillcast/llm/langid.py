@@ -25,6 +25,8 @@ from tillcast.llm.common import pieces, text_buffers
 #: Bounds of the fit: sampled texts for each language, bytes read from each, bytes of a dictionary, languages.
 SAMPLE_ROWS, SAMPLE_BYTES, DICT_BYTES, MAX_LANGS = 200, 16_384, 32_768, 1_000
 LEVEL, BLOCK_BYTES = 5, 4_096
+#: The second look at short texts: effort, passages of a dictionary and their bytes.
+CLOSE_LEVEL, PASSAGES, PASSAGE_BYTES = 19, 16, 128
 #: Leads below this share of the second smallest size are narrow.
 MIN_MARGIN = 0.002
 UNDETERMINED = "und"
@@ -71,22 +73,61 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     return out
 
 
-def _encoders(dicts: dict[str, bytes]):
-    import zstandard as z
+class Encoders:
+    """The dictionaries' encoders, in alphabetical order of the languages.
 
-    made = {}
-    for lang, raw in sorted(dicts.items()):
-        d = z.ZstdCompressionDict(raw, dict_type=z.DICT_TYPE_RAWCONTENT)
-        p = z.ZstdCompressionParameters.from_level(LEVEL, source_size=BLOCK_BYTES, dict_size=len(raw), write_content_size=0)
-        d.precompute_compress(compression_params=p)
-        made[lang] = z.ZstdCompressor(compression_params=p, dict_data=d)
-    return made
+    A text of a few words is too short to be encoded smaller at all. Where
+    the sizes leave a narrow lead, a text of one block is encoded once more
+    behind short passages of each dictionary, at the highest effort, and what
+    it adds to them is summed.
+    """
 
+    def __init__(self, dicts: dict[str, bytes]):
+        self.dicts = dict(sorted(dicts.items()))
+        self.names = list(self.dicts)
+        self.first = [self._make(raw, LEVEL) for raw in self.dicts.values()]
+        self.close: list[tuple] = []
 
-def sizes(text: memoryview, encoders: dict) -> list[int]:
-    """Encoded bytes of the whole text with each dictionary."""
-    cuts = [text[i:i + BLOCK_BYTES] for i in range(0, len(text), BLOCK_BYTES)]
-    return [sum(len(e.compress(c)) for c in cuts) for e in encoders.values()]
+    @staticmethod
+    def _make(raw: bytes, level: int, **settings):
+        import zstandard as z
+
+        d = z.ZstdCompressionDict(raw, dict_type=z.DICT_TYPE_RAWCONTENT)
+        p = z.ZstdCompressionParameters.from_level(level, source_size=BLOCK_BYTES, dict_size=len(raw), write_content_size=0, **settings)
+        d.precompute_compress(compression_params=p)
+        return z.ZstdCompressor(compression_params=p, dict_data=d)
+
+    def sizes(self, text: memoryview) -> list[int]:
+        """Encoded bytes of the whole text with each dictionary."""
+        cuts = [text[i:i + BLOCK_BYTES] for i in range(0, len(text), BLOCK_BYTES)]
+        return [sum(len(e.compress(c)) for c in cuts) for e in self.first]
+
+    def added(self, text: bytes) -> list[int]:
+        """Bytes that a short text adds to passages of each dictionary."""
+        if not self.close:
+            for raw in self.dicts.values():
+                e = self._make(raw, CLOSE_LEVEL, min_match=3)
+                step = max(1, len(raw) // PASSAGES)
+                parts = [raw[i * step:i * step + PASSAGE_BYTES] for i in range(PASSAGES)]
+                self.close.append((e, parts, sum(len(e.compress(x)) for x in parts)))
+        return [sum(len(e.compress(x + b" " + text)) for x in parts) - base for e, parts, base in self.close]
+
+    def best(self, text: memoryview, min_margin: float) -> tuple[int, float]:
+        """(which language, its lead over the second); (-1, 0) for a text without letters or without languages."""
+        if len(text) < 2 and bytes(text) in (b"", b" ") or not self.names:
+            return -1, 0.0
+        if len(self.names) == 1:
+            return 0, 1.0
+        found = _lead(self.sizes(text))
+        if found[1] < min_margin and len(text) <= BLOCK_BYTES:
+            found = _lead(self.added(bytes(text)))
+        return found
+
+
+def _lead(sizes: list[int]) -> tuple[int, float]:
+    best = int(np.argmin(sizes))
+    second = min(sizes[:best] + sizes[best + 1:])
+    return best, (second - sizes[best]) / second if second > 0 else 0.0
 
 
 def predict(docs: DataFrame, dicts: dict[str, bytes], text_col: str = "text", id_col: str = "doc_id",
@@ -102,30 +143,15 @@ def predict(docs: DataFrame, dicts: dict[str, bytes], text_col: str = "text", id
     shared = docs.sparkSession.sparkContext.broadcast(dicts)
 
     def score(batches):
-        encoders = _encoders(shared.value)
-        names = list(encoders)
+        encoders = Encoders(shared.value)
         for piece in pieces(batches, 1):
             offsets, raw = text_buffers(letters(piece.column(1)))
             view = memoryview(raw)
-            langs, scores, rejected = [], [], []
-            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                if b - a < 2 and view[a:b] in (b"", b" ") or not names:
-                    langs.append(UNDETERMINED)
-                    scores.append(0.0)
-                    rejected.append(True)
-                    continue
-                got = sizes(view[a:b], encoders)
-                best = int(np.argmin(got))
-                lead = 1.0
-                if len(got) > 1:
-                    second = min(got[:best] + got[best + 1:])
-                    lead = (second - got[best]) / second
-                langs.append(names[best])
-                scores.append(lead)
-                rejected.append(lead < min_margin)
+            found = [encoders.best(view[a:b], min_margin) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            langs = [encoders.names[k] if k >= 0 else UNDETERMINED for k, _ in found]
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
-                names=["doc_id", "lang_pred", "score", "rejected"])
+                [piece.column(0), pa.array(langs, pa.string()), pa.array([x for _, x in found], pa.float64()),
+                 pa.array([x < min_margin for _, x in found], pa.bool_())], names=["doc_id", "lang_pred", "score", "rejected"])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return src.mapInArrow(score, _SCHEMA)
@@ -148,17 +174,11 @@ def accepted(docs: DataFrame, dicts: dict[str, bytes], text_col: str = "text", m
     shared = docs.sparkSession.sparkContext.broadcast(dicts)
 
     def keep(batches):
-        encoders = _encoders(shared.value)
+        encoders = Encoders(shared.value)
         for piece in pieces(batches, at):
             offsets, raw = text_buffers(letters(piece.column(at)))
             view = memoryview(raw)
-            mask = []
-            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                if b - a < 2 and view[a:b] in (b"", b" ") or not encoders:
-                    mask.append(False)
-                    continue
-                got = sorted(sizes(view[a:b], encoders))
-                mask.append(len(got) == 1 or got[1] - got[0] >= min_margin * got[1])
+            mask = [encoders.best(view[a:b], min_margin)[1] >= min_margin for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
             yield piece.filter(pa.array(mask, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
