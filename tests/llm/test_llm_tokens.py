@@ -141,3 +141,14 @@ def test_pipeline_against_brute_force(spark):
     text = dict(rows)
     assert all(r["decoded_sha256"] == hashlib.sha256(text[r["doc_id"]].encode()).hexdigest() for r in got)
     assert [n for n, _ in P.STAGES] and P.ORACLE_SQL is None
+
+
+def test_short_texts_are_told_apart(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    dicts = langid.fit(docs.where(~langid.held_out()))
+    enc = langid.Encoders(dicts)
+    words = {"en": "the reand thation of ", "fr": "de la mentré eauxan ", "de": "der und einheit schlich ", "es": "que la ciónado ñ "}
+    for lang, text in words.items():
+        if lang in dicts:
+            k, lead = enc.best(memoryview(text.encode()), langid.MIN_MARGIN)
+            assert enc.names[k] == lang and lead >= langid.MIN_MARGIN
