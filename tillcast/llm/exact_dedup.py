@@ -99,7 +99,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     ids = identities(docs, id_col, text_col, block_bytes)
     order = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("row"))
-    groups = ids.groupBy("level", "name").agg(F.min(order).alias("first"), F.count("*").alias("group_size"))
+    # written, so that joining back is a plain join whose hot groups Spark can split
+    groups = written(ids.groupBy("level", "name").agg(F.min(order).alias("first"), F.count("*").alias("group_size")), "groups")
     return ids.join(groups, ["level", "name"]).select(
         F.col("id").alias("doc_id"), F.col("first.id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("first.row")).alias("kept"), F.col("sha").alias("text_sha256"))
