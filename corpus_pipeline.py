@@ -11,25 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcast.llm import bpe, exact_dedup, jaccard, langid, mixing
-from tillcast.llm.common import table, written
-from tillcast.session import ship_package
+from tillcast.llm.common import prepare, table, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the compression classifier does not reject (null, no letters, narrow lead: gone)."""
-    ship_package(spark)
+    prepare(spark)
     return langid.accepted(docs, langid.fit(docs.where(~langid.held_out())))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (up to white space) the one with the smallest doc_id."""
-    ship_package(spark)
+    prepare(spark)
     return exact_dedup.keep_first(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by 3-word shingles at Jaccard 0.9, the one with the smallest doc_id."""
-    ship_package(spark)
+    prepare(spark)
     return jaccard.keep_one(docs)
 
 
@@ -40,7 +39,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per (replicated) document: its ids, their number and the digests of ids and decoded text."""
-    ship_package(spark)
+    prepare(spark)
     return bpe.encode(docs).select(
         "doc_id", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -13,11 +13,21 @@ from pyspark.sql import functions as F
 from tillcast.session import checkpoint_dir, ship_package
 
 #: Bytes of text that one numpy pass of a task works on; a longer text is a pass of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
+#: Rows of an Arrow batch between Spark and Python: whole texts travel in them, so fewer than Spark's default of 10,000.
+BATCH_ROWS = 1000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def prepare(spark: SparkSession) -> None:
+    """Make the package importable on the executors and bound the Arrow batches, unless the session says otherwise."""
     ship_package(spark)
+    if spark.conf.get(_BATCH_CONF, "10000") == "10000":
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -28,7 +38,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     read the files. The folder is the one ``spark.checkpoint.dir`` names.
     """
     spark = df.sparkSession
-    ship_package(spark)
+    prepare(spark)
     path = f"{checkpoint_dir(spark).rstrip('/')}/tillcast-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

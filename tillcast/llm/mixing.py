@@ -50,14 +50,10 @@ def rates(docs: DataFrame, weights: dict[str, float], total: float | None = None
     share = spark.createDataFrame([(s, float(weights[s])) for s in listed] + [(OTHER, float(other_weight))],
                                   "key string, weight double")
     stat = size.join(F.broadcast(share), "key")
-    whole = size.agg(F.sum("size").cast("double").alias("n"))
-    target = F.lit(float(total)) if total is not None else F.col("n")
-    summed = stat.agg(F.sum("weight").alias("w"))
-    one = F.lit(1)
-    rate = F.when(F.col("weight") > 0, F.col("weight") / F.col("w") * target / F.col("size")).otherwise(0.0)
-    return (stat.withColumn("__one", one).join(F.broadcast(whole.withColumn("__one", one)), "__one")
-            .join(F.broadcast(summed.withColumn("__one", one)), "__one")
-            .select("key", rate.alias("rate"))
+    target = F.lit(float(total)) if total is not None else size.agg(F.sum("size").cast("double")).scalar()
+    summed = stat.agg(F.sum("weight")).scalar()
+    rate = F.when(F.col("weight") > 0, F.col("weight") / summed * target / F.col("size")).otherwise(0.0)
+    return (stat.select("key", rate.alias("rate"))
             .withColumn("draws", F.greatest(F.ceil(F.col("rate") / MAX_MEAN), F.lit(1)).cast("int"))
             .withColumn("cdf", cumulative(F.col("rate") / F.col("draws"))))
 

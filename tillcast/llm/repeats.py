@@ -36,10 +36,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillcast.llm.common import BASE, BYTE_NUMBERS, mix64, pieces, powers, ragged, shuffle_parts, text_buffers, written
-from tillcast.session import checkpoint_dir, ship_package
+from tillcast.llm.common import BASE, BYTE_NUMBERS, mix64, pieces, powers, prepare, ragged, shuffle_parts, text_buffers, written
+from tillcast.session import checkpoint_dir
 
 LENGTH, GRAM = 200, 64
+#: Bytes of text in a chunk; each chunk sends a key once.
+CHUNK_BYTES = 2 << 20
 
 _CHUNK = "slot int, chunk int, blob binary, sizes binary, ids array<long>"
 _GRAM = "k1 long, slot int, code long"
@@ -114,7 +116,7 @@ def _store(batches):
 
     pack = ZstdCompressor(level=3)
     slot = TaskContext.get().partitionId()
-    for chunk, piece in enumerate(pieces(batches, 1)):
+    for chunk, piece in enumerate(pieces(batches, 1, CHUNK_BYTES)):
         offsets, raw = text_buffers(piece.column(1))
         blob = pack.compress(raw[offsets[0]:offsets[-1]].tobytes())
         yield pa.RecordBatch.from_arrays(
@@ -323,7 +325,7 @@ def _cut(length: int, gram: int):
 def _stored(src: DataFrame) -> DataFrame:
     """The chunks as a table bucketed by slot, in the shared folder: passes read a slot where it lies, without an exchange."""
     spark = src.sparkSession
-    ship_package(spark)
+    prepare(spark)
     name = f"tillcast_chunks_{uuid.uuid4().hex}"
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
     (src.mapInArrow(_store, _CHUNK).write.format("parquet").option("compression", "none").bucketBy(shuffle_parts(spark), "slot")
