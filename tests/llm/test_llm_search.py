@@ -147,6 +147,16 @@ def test_url_templates(spark):
     assert {own[2000 + k]["verdict"] for k in range(60)} == {"block"}
 
 
+def test_rare_bad_branch_of_a_wide_host(spark):
+    names = [f"sec{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(29)] + ["casino"]
+    rows = [(100 * k + j, f"http://wide.net/{name}/page-{chr(97 + j % 26)}{chr(97 + j // 26)}") for k, name in enumerate(names) for j in range(40)]
+    rows += [(10000 + k, f"http://wide.net/once{chr(97 + k % 26)}{chr(97 + k // 26)}") for k in range(50)]
+    got = {r["page_id"]: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), rules=[]).collect()}
+    assert {(got[2900 + j]["template"], got[2900 + j]["verdict"]) for j in range(40)} == {("/casino/*", "block")}
+    assert {got[i]["verdict"] for i, _ in rows if not 2900 <= i < 3000} == {"allow"}
+    assert {got[10000 + k]["template"] for k in range(50)} == {"/*"}
+
+
 def test_em_finds_accuracies():
     rng = np.random.default_rng(0)
     truth = (rng.random(20000) < 0.85).astype(int)

@@ -1,10 +1,11 @@
 """URL filters: fixed rules, and a path-template tree for what no rule covers.
 
 Tree. Per host, the segments of the urls' paths form a tree. Going down, a
-segment that varies (digits and hexadecimal runs by their form; any segment of
-a node with many children of which few recur) becomes a wildcard. Sibling
+segment that varies (digits and hexadecimal runs by their form; below a node
+with many children, a segment that does not recur) becomes a wildcard. Sibling
 branches whose labelled share of bad urls does not differ from their pooled
-share (two-proportion z test) are merged. A template is rejected when its
+share (two-proportion z test) are merged; those that differ stay branches of
+their own, however small their share of the host. A template is rejected when its
 smoothed purity, (bad + strength * base rate) / (labelled + strength), is at
 least ``threshold``.
 
@@ -29,8 +30,8 @@ RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "exa
 # Words that label a url as bad.
 BAD_WORDS = ["adult", "bet", "bets", "casino", "gambling", "pills", "poker", "porn", "sex", "viagra", "xxx"]
 
-#: Levels of the tree (deeper segments join the last one), children before a node is generalised, share of a child that stays.
-DEPTH, FAN_OUT, STAYS = 6, 20, 0.05
+#: Levels of the tree (deeper segments join the last one), children of a node beyond which segments that do not recur are generalised, urls from which one recurs.
+DEPTH, FAN_OUT, RECURS = 6, 20, 2
 #: z of siblings that are alike; weight of the base rate; purity from which a template is rejected.
 ALIKE, STRENGTH, THRESHOLD = 1.96, 2.0, 0.5
 
@@ -79,9 +80,9 @@ def templates(urls: DataFrame) -> DataFrame:
         child = (here.where("seg is not null").groupBy("host", "template", "seg")
                  .agg(F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")))
         node = (child.groupBy("host", "template")
-                .agg(F.count("*").alias("children"), F.sum("n").alias("all_n"), F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad")))
+                .agg(F.count("*").alias("children"), F.sum("labelled").alias("all_labelled"), F.sum("bad").alias("all_bad")))
         c = child.join(node, ["host", "template"])
-        variable = (F.col("children") > FAN_OUT) & (F.col("n") < STAYS * F.col("all_n"))
+        variable = (F.col("children") > FAN_OUT) & (F.col("n") < RECURS)
         rate = F.col("all_bad") / F.greatest("all_labelled", F.lit(1))
         error = F.sqrt(F.greatest(rate * (1 - rate), F.lit(1e-6)) / F.greatest("labelled", F.lit(1)))
         alike = (F.col("labelled") == 0) | (F.abs(F.col("bad") / F.greatest("labelled", F.lit(1)) - rate) <= ALIKE * error)
