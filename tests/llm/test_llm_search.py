@@ -89,6 +89,17 @@ def test_broken_pages(html):
     assert html_text.main_text("<div>" * 3000 + "deep" + "</div>" * 3000) == "deep"
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<p>One.</p><p class=x\">Two.</p><p>Three.</p>", "One.\n\nTwo.\n\nThree."),
+    ("<p class=it's>Two.</p><p>don't <b>stop</b></p>", "Two.\n\ndon't stop"),
+    ("<p \">One.</p><p>Two.</p>", "One.\n\nTwo."),
+    ("<p>One.</p><p title=\"x>Two.</p><p>Three.</p>", "One.\n\nTwo.\n\nThree."),
+    ("<p class=x'hidden>One.</p><p title=\"a>b\" lang = 'c>d'>Two.</p>", "One.\n\nTwo."),
+    ("<p>One.</p><p title=\"two", "One.")])
+def test_text_after_a_stray_quote_stays(html, text):
+    assert html_text.main_text(html) == text
+
+
 def test_pages_query_keeps_every_row(spark):
     df = spark.createDataFrame([(1, "u", PAGE, "c"), (1, "u", PAGE, "c"), (None, None, None, None), (3, "v", "<p>short</p>", "c")],
                                "page_id long, url string, html string, text string")

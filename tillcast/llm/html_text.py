@@ -41,8 +41,10 @@ gdpr notice popup modal overlay share sharing social related recommended newslet
 pagination toolbar widget""".split())
 ARTICLE = set("article body content entry hentry main page post story text blog".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)", re.S)
-ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+# Attributes as HTML reads them: a quote opens a value only straight after ``=``, elsewhere it is a character like others.
+ATTRIBUTES = r"(?:[\s/]|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+|(?=>)))?+)*+"
+TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*+)({ATTRIBUTES}(?=>)|[^>]*+)>|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"'][^\s>]*+)))?")
 WORD = re.compile(r"[a-z0-9]+")
 SPACE = re.compile(r"\s+")
 
@@ -57,7 +59,8 @@ class Node:
 
 
 def tree(html: str) -> Node:
-    """A forgiving parse: unknown ends are skipped, open elements end where HTML implies it."""
+    """A forgiving parse: unknown ends are skipped, open elements end where HTML implies it; a tag whose
+    quoted value never closes ends at its next ``>``."""
     root = Node("#root", "", None)
     at, here, n = 0, root, len(html)
     while at < n:
@@ -70,7 +73,7 @@ def tree(html: str) -> Node:
         at = m.end()
         name = m.group(2)
         if name is None:
-            if m.group(5) is not None:  # a tag that never ends: the rest is no text
+            if m.group(5) is not None:  # a tag without any > to end it: the rest is no text
                 break
             continue
         name = name.lower()
