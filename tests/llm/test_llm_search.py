@@ -193,3 +193,12 @@ def test_quality_edges(spark):
     got = quality.query(df).collect()
     assert len(got) == 5 and {r["score"] for r in got if r["doc_id"] in (1, 2)} == {0.0}
     assert quality.query(df.limit(0)).count() == 0
+
+
+def test_quality_without_ids_or_with_one_text(spark):
+    good, bad = "ok then, this is sentence number {} of the text.", "{} {} buy buy buy $$$ ###"
+    texts = [(good if k % 4 else bad).format(k, k) for k in range(400)]
+    for rows in ([(None, t) for t in texts], [(7, t) for t in texts], [(None, texts[1])] * 400, [(7, None)] * 400):
+        for more in (2, 5):
+            weights, found = quality.fit(spark.createDataFrame(rows, "doc_id long, text string"), train_rows=more)
+            assert np.isfinite(weights).all() and found["good"] is not None

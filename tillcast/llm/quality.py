@@ -216,10 +216,10 @@ def fit(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", train_r
     share, acc, posterior = expectation_maximisation(patterns, counts)
     label = dict(zip(codes.tolist(), posterior.tolist(), strict=True))
 
-    # thinned by hash to about twice the bound, then the smallest hashes: the sample depends on ids alone
-    place = F.pmod(F.xxhash64(F.lit("quality"), F.col(id_col)), F.lit(1 << 30))
+    # thinned by hash to about twice the bound, then the smallest hashes: the sample depends on ids and texts alone
+    place = F.pmod(F.xxhash64(F.lit("quality"), F.col(id_col), F.col(text_col).cast("string")), F.lit(1 << 30))
     most = min(1 << 30, int((1 << 30) * 2 * train_rows / counts.sum()) + 1)
-    picked = docs.select(place.alias("place"), F.col(text_col).cast("string").alias("text")).where(F.col("place") < most)
+    placed = docs.select(place.alias("place"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
         for piece in pieces(batches, 1):
@@ -228,7 +228,11 @@ def fit(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", train_r
             x = described(*buffers, v, buckets).astype(np.float32)
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(_codes(v)), pa.array([r.tobytes() for r in x], pa.binary())],
                                              names=["place", "pattern", "x"])
-    sample = picked.mapInArrow(run, "place long, pattern long, x binary").orderBy("place", "pattern", "x").limit(train_rows).collect()
+
+    def smallest(rows: DataFrame) -> list:
+        return rows.mapInArrow(run, "place long, pattern long, x binary").orderBy("place", "pattern", "x").limit(train_rows).collect()
+    # no place below the cut: nearly all rows are one document, repeated
+    sample = smallest(placed.where(F.col("place") < most)) or smallest(placed)
     x = np.stack([np.frombuffer(r[2], np.float32) for r in sample]).astype(float)
     y = np.array([label[r[1]] for r in sample])
     names = [h[0] for h in HEURISTICS]
