@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillcast.llm import bpe, exact_dedup, html_text, jaccard, langid, mixing, quality, repeats, topk, url_filter
+from tillcast.llm import bpe, conv_trie, exact_dedup, html_text, jaccard, langid, mixing, quality, repeats, topk, url_filter
 from tillcast.llm.common import table
 
 
@@ -26,10 +26,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": _over("documents", jaccard.jaccard_components),
     "op9_quality": _over("documents", quality.query),
     "op10_language_id": _over("documents", langid.query),
+    "op11_conversation_trie": _over("conversations", conv_trie.prefix_trie),
 }
 
 SQL: dict[str, str] = {
     "op1_topk_search": topk.SQL,
     "op2_exact_dedup": exact_dedup.SQL,
     "op4_mixing": mixing.SQL,
+    "op11_conversation_trie": conv_trie.SQL,
 }
