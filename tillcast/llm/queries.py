@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillcast.llm import bpe, conv_trie, exact_dedup, html_text, jaccard, langid, mixing, quality, repeats, topk, url_filter
+from tillcast.llm import bpe, conv_trie, exact_dedup, html_text, jaccard, langid, mixing, quality, repeats, secrets, topk, url_filter
 from tillcast.llm.common import table
 
 
@@ -27,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": _over("documents", quality.query),
     "op10_language_id": _over("documents", langid.query),
     "op11_conversation_trie": _over("conversations", conv_trie.prefix_trie),
+    "op12_secret_scan": _over("documents", secrets.find_secrets),
 }
 
 SQL: dict[str, str] = {
@@ -34,4 +35,5 @@ SQL: dict[str, str] = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op4_mixing": mixing.SQL,
     "op11_conversation_trie": conv_trie.SQL,
+    "op12_secret_scan": secrets.SQL,
 }
