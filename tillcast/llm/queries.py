@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillcast.llm import bpe, conv_trie, exact_dedup, html_text, jaccard, langid, mixing, quality, repeats, secrets, topk, url_filter
+from tillcast.llm import bpe, conv_trie, exact_dedup, html_text, jaccard, langid, mixing, quality, repeats, secrets, topk, url_filter, vector_codes
 from tillcast.llm.common import table
 
 
@@ -28,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": _over("documents", langid.query),
     "op11_conversation_trie": _over("conversations", conv_trie.prefix_trie),
     "op12_secret_scan": _over("documents", secrets.find_secrets),
+    "op13_vector_codes": _over("embeddings", vector_codes.compress),
 }
 
 SQL: dict[str, str] = {
@@ -36,4 +37,5 @@ SQL: dict[str, str] = {
     "op4_mixing": mixing.SQL,
     "op11_conversation_trie": conv_trie.SQL,
     "op12_secret_scan": secrets.SQL,
+    "op13_vector_codes": vector_codes.SQL,
 }
