@@ -107,6 +107,44 @@ def test_jaccard_repeated_and_missing_ids(spark):
     assert jaccard.jaccard_components(frame(spark, [(1, "a")]).limit(0)).count() == 0
 
 
+def near_copies(n, words=200, seed=1):
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(5000)}" for _ in range(words)]
+    out = []
+    for _ in range(n):
+        d = list(base)
+        d[rng.randrange(words)] = f"v{rng.randrange(10 ** 6)}"
+        out.append(" ".join(d))
+    return out
+
+
+def test_near_copies_give_a_link_each(spark):
+    rows = list(enumerate(near_copies(600)))
+    links = jaccard.candidate_links(frame(spark, rows, 24), 90)
+    assert links.count() < 2 * 600
+    assert jaccard.components(links).select("comp").distinct().count() == 1
+
+
+def test_keep_one_goes_by_row(spark):
+    a, b, c = near_copies(3)
+    other = " ".join(f"o{i}" for i in range(50))
+    rows = [(7, a), (7, other), (None, b), (None, "alone"), (3, c), (3, c), (3, "short"), (4, None), (4, None), (5, ""), (None, None)]
+    df = spark.createDataFrame([(i, t, "k", 1) for i, t in rows], "doc_id long, text string, key_0 string, place_0 int").repartition(3)
+    got = jaccard.keep_one(df)
+    assert got.columns == df.columns
+    want = [(7, other), (None, "alone"), (3, c), (3, "short"), (4, None), (4, None), (5, ""), (None, None)]
+    assert sorted(((r[0], r[1]) for r in got.collect()), key=str) == sorted(want, key=str)
+    assert jaccard.keep_one(df.limit(0)).count() == 0
+
+
+def test_many_texts_under_one_id(spark):
+    texts = near_copies(60) + [f"only {k} words here now" for k in range(40)]
+    rows = [(1, t) for t in texts] + [(None, t) for t in texts]
+    got = jaccard.jaccard_components(frame(spark, rows))
+    assert got.count() == 200 and got.where("component_id = 1 or component_id is null").count() == 200
+    assert jaccard.keep_one(frame(spark, rows)).count() == 41
+
+
 def test_linked_sets_share_a_part():
     import numpy as np
 
