@@ -319,26 +319,16 @@ def test_a_cluster_needs_a_shared_folder(monkeypatch):
         checkpoint_dir(fake)
 
 
-def test_poisson_scores_do_not_depend_on_the_chunk(spark, monkeypatch):
-    from pyspark.ml.feature import VectorAssembler
-    from tillcast.operators.ml import poisson_boost
+def test_poisson_deviance_of_every_round(spark):
+    from tillcast.operators.ml import bins, leafwise
 
     rng = np.random.default_rng(4)
-    rows = [(float(a), float(b), float(rng.poisson(np.exp(0.5 * a + (b > 0.5))))) for a, b in rng.random((300, 2))]
-    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(spark.createDataFrame(rows, "a double, b double, y double"))
-    model = poisson_boost.fit(df, "y", rounds=5, depth=2, lr=0.3)
-    whole = [r.F for r in model.margin(df).orderBy("a").collect()]
-    deviance = model.deviances(df, "y")
-    monkeypatch.setattr(poisson_boost, "CHUNK", 2)
-    assert np.allclose(whole, [r.F for r in model.margin(df).orderBy("a").collect()])
-    assert np.allclose(deviance, model.deviances(df, "y")) and deviance == sorted(deviance, reverse=True)
-    y, f = np.array([r.y for r in df.orderBy("a").collect()]), np.array(whole)
-    want = np.mean(2 * (np.where(y > 0, y * (np.log(np.maximum(y, 1e-9)) - f), 0) - y + np.exp(f)))
-    assert deviance[-1] == pytest.approx(want)
-
-
-def test_wide_categories_get_enough_bins(spark):
-    from tillcast.operators.ml import encode
-
-    df = spark.range(500).select(*[F.col("id").cast("string").alias(c) if c == "item_id" else F.lit("x").alias(c) for c in encode.CATEGORICAL])
-    assert encode.bins_needed(df) == 502
+    rows = [(float(a), float(b), float(rng.poisson(np.exp(0.5 * a + (b > 0.5)))), int(k % 3)) for k, (a, b) in enumerate(rng.random((300, 2)))]
+    df = spark.createDataFrame(rows, "a double, b double, y double, fold int")
+    of = bins.fit_bins(df, "y", [], ["a", "b"])
+    spec = leafwise.Spec(loss="poisson", leaves=4, rounds=5, step=0.3, columns=1.0, fold=2)
+    (model,), (errors,) = leafwise.fit(of.packed(df, "y", "fold"), of, [spec])
+    held = [r for r in model.predict(df.where("fold = 2"), of, ["y"]).collect()]
+    y, m = np.array([r.y for r in held]), np.array([r.prediction for r in held])
+    want = (2 * (np.where(y > 0, y * (np.log(np.maximum(y, 1e-9)) - np.log(m)), 0) - y + m)).sum()
+    assert errors[-1][3] == pytest.approx(want) and errors[0][3] > errors[1][3] and len(errors) == 6

@@ -1,102 +1,17 @@
-"""Gradient boosting with Poisson loss and log link.
+"""Leaf values of boosting with Poisson loss and log link (F15), as a grouped aggregation.
 
-Spark's GBT has no Poisson loss, so the boosting loop is written over
-``DecisionTreeRegressor``: each round fits a tree to the gradient
-``y - exp(F)``, reads each row's leaf (``leafCol``), and sets the leaf value
-to the Newton step ``log(sum y / sum exp(F))`` computed by a grouped
-aggregation per leaf (at most 2^depth rows, so the table is broadcast and
-kept on the driver as a literal map for scoring). Lineage is cut with a
-reliable ``checkpoint()`` into the session's checkpoint folder every few
-rounds.
+``leafwise`` takes the same values from its histograms.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
-from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillcast.session import reliable_checkpoint
-
-# Fixed value: floor for a leaf's label sum before the log.
-LEAF_FLOOR = 1e-3
-#: Trees applied in one plan.
-CHUNK = 10
-
-
-@dataclass
-class PoissonBoost:
-    base: float
-    lr: float
-    trees: list = field(default_factory=list)     # DecisionTreeRegressionModel per round
-    leaves: list = field(default_factory=list)    # {leaf id: value} per round
-
-    def margin(self, df: DataFrame, features: str = "features") -> DataFrame:
-        """Add the link-scale score ``F`` (one leaf lookup per tree, no joins).
-
-        Trees are applied a few at a time and the rows written between, so
-        the plan does not grow with the number of rounds.
-        """
-        out = df.withColumn("F", F.lit(self.base))
-        for i in range(0, len(self.trees), CHUNK):
-            part = PoissonBoost(self.base, self.lr, self.trees[i:i + CHUNK], self.leaves[i:i + CHUNK])
-            last = f"F{len(part.trees)}"
-            out = part._steps(out).withColumn("F", F.col(last)).drop(*[f"F{j}" for j in range(len(part.trees) + 1)])
-            if i + CHUNK < len(self.trees):
-                out = reliable_checkpoint(out)
-        return out
-
-    def deviances(self, df: DataFrame, y: str, features: str = "features") -> list[float]:
-        """Mean Poisson deviance after each round, one pass for a few rounds each; lineage is cut between."""
-        from tillcast.operators.ml.search import poisson_deviance
-
-        out, found = df.select(features, y).withColumn("F", F.lit(self.base)), []
-        for i in range(0, len(self.trees), CHUNK):
-            part = PoissonBoost(self.base, self.lr, self.trees[i:i + CHUNK], self.leaves[i:i + CHUNK])
-            steps = part._steps(out)
-            rows = steps.agg(*[poisson_deviance(y, f"F{j}") for j in range(1, len(part.trees) + 1)]).first()
-            found += list(rows)
-            out = reliable_checkpoint(steps.select(features, y, F.col(f"F{len(part.trees)}").alias("F")))
-        return found
-
-    def _steps(self, df: DataFrame) -> DataFrame:
-        """``F0`` (the column F) and the score after each tree as F1, F2, ..."""
-        out = df.withColumn("F0", F.col("F"))
-        for i, (tree, vals) in enumerate(zip(self.trees, self.leaves)):
-            t = tree.copy().setLeafCol(f"_leaf{i}").setPredictionCol(f"_p{i}")
-            m = F.create_map(*[x for k, v in vals.items() for x in (F.lit(float(k)), F.lit(float(v)))])
-            gain = F.lit(self.lr) * F.coalesce(m[F.col(f"_leaf{i}")], F.lit(0.0))
-            out = t.transform(out).withColumn(f"F{i + 1}", F.col(f"F{i}") + gain).drop(f"_leaf{i}", f"_p{i}")
-        return out
-
-    def predict(self, df: DataFrame, features: str = "features") -> DataFrame:
-        return self.margin(df, features).withColumn("prediction", F.exp("F"))
+from tillcast.operators.ml.leafwise import LABEL_FLOOR
 
 
 def leaf_values(df: DataFrame, leaf: str, y: str, margin: Column) -> DataFrame:
     """Newton leaf value for Poisson deviance: log(sum y / sum exp(F)) per leaf."""
     return df.groupBy(leaf).agg(
-        F.log(F.greatest(F.sum(y), F.lit(LEAF_FLOOR)) / F.sum(F.exp(margin))).alias("gamma"))
-
-
-def fit(train: DataFrame, label: str, features: str = "features", rounds: int = 10, depth: int = 5,
-        lr: float = 0.3, checkpoint_every: int = 3, seed: int = 42, bins: int = 64) -> PoissonBoost:
-    base = train.agg(F.log(F.avg(label))).first()[0]
-    model = PoissonBoost(base=float(base), lr=lr)
-    df = train.select(features, label).withColumn("F", F.lit(model.base))
-    for r in range(rounds):
-        g = df.withColumn("_grad", F.col(label) - F.exp("F"))
-        dt = DecisionTreeRegressor(featuresCol=features, labelCol="_grad", maxDepth=depth, maxBins=bins,
-                                   leafCol="_leaf", seed=seed + r)
-        tree = dt.fit(g)
-        t = tree.transform(g)
-        vals = {row["_leaf"]: row["gamma"] for row in leaf_values(t, "_leaf", label, F.col("F")).collect()}
-        m = F.create_map(*[x for k, v in vals.items() for x in (F.lit(float(k)), F.lit(float(v)))])
-        df = t.select(features, label, (F.col("F") + F.lit(lr) * m[F.col("_leaf")]).alias("F"))
-        if (r + 1) % checkpoint_every == 0:
-            df = reliable_checkpoint(df)
-        model.trees.append(tree)
-        model.leaves.append(vals)
-    return model
+        F.log(F.greatest(F.sum(y), F.lit(LABEL_FLOOR)) / F.sum(F.exp(margin))).alias("gamma"))
