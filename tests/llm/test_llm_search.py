@@ -70,6 +70,41 @@ def test_page_text():
         "To.", "item one", "item two"])
 
 
+PARAGRAPHS = "<p>Paragraph one, which has commas, and quite a lot of text in it to score well.</p>" * 3
+
+
+@pytest.mark.parametrize("name", ["with-sidebar", "page has-sidebar", "wrapper no-comments", "layout ad-free", "comments-open post", "hasSidebar"])
+def test_wrapper_names_drop_nothing(name):
+    want = html_text.main_text(f"<article>{PARAGRAPHS}</article>")
+    assert want.count("Paragraph") == 3
+    aside = '<div class="sidebar"><p>Side, text, is long enough to count, yes it is.</p></div><div class="comments"><p>Reader, text, is long enough to count.</p></div>'
+    assert html_text.main_text(f'<div class="{name}"><article>{PARAGRAPHS}</article>{aside}</div>') == want
+    assert html_text.main_text(f'<body><div class="{name}"><div>{PARAGRAPHS}</div>{aside}</div>') == want
+    assert html_text.main_text(f'<form action="/x"><div class="{name}"><div>{PARAGRAPHS}</div>{aside}</div></form>') == want
+
+
+def test_what_stands_between_parts_stays():
+    html = (f"<body><div id=c><h1>Title</h1><div>{PARAGRAPHS}</div><h2>Second</h2><ul><li>one<li>two</ul>bare text"
+            f"<ul><li><a href=a>Linked</a><li><a href=b>menu</a></ul><div>{PARAGRAPHS}</div><ul><li>after</ul></div>")
+    p = html_text.main_text(PARAGRAPHS)
+    assert html_text.main_text(html) == "\n\n".join(["Title", p, "Second", "one", "two", "bare text", p])
+
+
+@pytest.mark.parametrize("html", ["<div>" * 100_000 + "some text, that is here" + "</div>" * 100_000, "<span>" * 100_000 + PARAGRAPHS + "</i>" * 50_000,
+                                  "<b><p>" * 30_000 + "text, here", "<p>a, b<button>" * 30_000, "<ul><li>x, y" * 50_000, "<table><tr><td>y" * 30_000 + "</b>" * 30_000])
+def test_deep_nesting_takes_linear_time(html):
+    import time
+
+    start = time.process_time()
+    assert html_text.main_text(html)
+    assert time.process_time() - start < 15
+
+
+def test_very_long_page():
+    text = html_text.main_text(f"<article>{PARAGRAPHS * 20_000}</article>")
+    assert text.count("Paragraph") == 60_000
+
+
 def test_page_without_article_element():
     inner = "".join(f"<p>Paragraph {k}, which has commas, and quite a lot of text in it to score.</p>" for k in range(4))
     html = f"<body><div class=menu><a href=a>One</a><a href=b>Two</a></div><div><div>{inner}</div></div><div class='footer'><p>Foot, note, text, which is long, as well</p></div>"
