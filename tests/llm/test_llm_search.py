@@ -12,18 +12,13 @@ SF = "/root/testdata/sf0.01"
 
 
 def brute_top(rows, k, every):
-    used = {}
-    for i, v in rows:
-        if i is None or v is None or any(x is None or not np.isfinite(x) for x in v):
-            continue
-        w = [int(np.floor(256 * x)) for x in v]
-        used[i] = min(used.get(i, w), w)
-    out = []
+    used = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows
+            if i is not None and v is not None and not any(x is None or not np.isfinite(x) for x in v)]
     fit = lambda s: max(-(1 << 63), min((1 << 63) - 1, s))
-    for q in used:
-        if q % every == 0:
-            scored = sorted((-fit(sum(a * b for a, b in zip(used[q], used[c], strict=True))), c) for c in used if c != q and len(used[c]) == len(used[q]))
-            out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scored[:k])]
+    out = []
+    for q in {i for i, _ in used if i % every == 0}:
+        scored = sorted((-fit(sum(a * b for a, b in zip(w, v, strict=True))), c) for i, w in used if i == q for c, v in used if c != q and len(v) == len(w))
+        out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scored[:k])]
     return sorted(out)
 
 
@@ -32,7 +27,7 @@ def test_top_k(spark, kw):
     rng = random.Random(2)
     rows = [(i, [rng.choice([rng.gauss(0, 0.3), 0.5, -0.25]) for _ in range(24)]) for i in range(300)]
     rows += [(1000, rows[10][1]), (1001, rows[10][1]), (2000, None), (2050, [None] * 24), (2100, [float("nan")] + [0.0] * 23),
-             (2150, [float("inf")] + [0.0] * 23), (0, rows[0][1]), (None, rows[1][1]), (3000, [1.0, 2.0]), (3001, [1.0, 1.0]), (3050, []), (3051, [])]
+             (2150, [float("inf")] + [0.0] * 23), (0, rows[0][1]), (0, rows[9][1]), (77, rows[3][1]), (77, [2.0] * 24), (None, rows[1][1]), (3000, [1.0, 2.0]), (3001, [1.0, 1.0]), (3050, []), (3051, [])]
     df = spark.createDataFrame([(i, v, 7) for i, v in rows], "vec_id long, embedding array<double>, score int").repartition(4)
     got = sorted(tuple(r) for r in topk.top_k(df, 5, 50, **kw).collect())
     ok = [(i, v) for i, v in rows]

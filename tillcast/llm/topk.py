@@ -36,7 +36,7 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def _matrix(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Ids, sorted and distinct, and vectors of whole numbers in float64 (object beyond 2^53)."""
+    """Ids, sorted, and vectors of whole numbers in float64; a repeated id stands once for each of its rows."""
     t = t.combine_chunks()
     n = t.num_rows
     ids = t.column("id").to_numpy()
@@ -44,12 +44,8 @@ def _matrix(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
     values = lists.flatten().to_numpy(zero_copy_only=False)
     v = np.floor(values * SCALE).reshape(n, -1) if n else np.zeros((0, 0))
-    # a repeated id counts once, with its smallest vector
-    order = np.lexsort((*v.T[::-1], ids)) if len(np.unique(ids)) < n else np.argsort(ids, kind="stable")
-    ids, v = ids[order], v[order]
-    new = np.ones(n, bool)
-    new[1:] = ids[1:] != ids[:-1]
-    return ids[new], v[new]
+    order = np.argsort(ids, kind="stable")
+    return ids[order], v[order]
 
 
 def _fit(score: int) -> int:
@@ -76,10 +72,7 @@ def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ve
     mass = np.stack([np.sqrt((columns[c:] ** 2).sum(0)) for c in cuts])  # norm of what remains of each candidate
     out = []
     for q, w in zip(query_ids.tolist(), queries, strict=True):
-        own = np.searchsorted(ids, q)
-        alive = np.arange(len(ids))
-        if own < len(ids) and ids[own] == q:
-            alive = np.delete(alive, own)
+        alive = np.delete(np.arange(len(ids)), np.s_[np.searchsorted(ids, q):np.searchsorted(ids, q, side="right")])
         total = np.zeros(len(alive))
         whole = len(alive) == len(ids)
         for b in range(len(cuts) - 1):
@@ -110,8 +103,9 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
     exact (beyond the range of a long it is clamped to it). Ties go to the
     smaller vec_id. Rows without id and vectors that are null or hold a null or
     non-finite component take no part. Vectors of different lengths do not
-    meet; empty ones score 0 with each other. A repeated vec_id counts once,
-    with its smallest vector. Other columns are not read.
+    meet; empty ones score 0 with each other. Rows that repeat a vec_id are
+    candidates of their own, for other ids; as queries they share one list of
+    the k best scores of all of them. Other columns are not read.
     """
     spark = vectors.sparkSession
     use = usable(vectors, id_col, vector_col).withColumn("dims", F.size("v"))
