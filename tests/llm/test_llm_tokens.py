@@ -95,6 +95,26 @@ def test_language_edges(spark):
     assert {(r["lang_pred"], r["score"]) for r in langid.predict(df.where("doc_id = 1"), {"xx": b"abc"}).collect()} == {("xx", 1.0)}
 
 
+def test_language_sample(spark):
+    words = "the reand thation of tion ing"
+    rows = [(None, f"{words} w{'abcdefghij'[k % 10]}{'abcdefghij'[k // 10 % 10]}{'abcdefghij'[k // 100 % 10]}", "en") for k in range(2000)]
+    rows += [(5, "der und einheit schlich " * 3000, "de"), (6, "der und einheit schlich " * 3000, "de"), (7, "anders geschrieben", "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    dicts = langid.fit(df)
+    assert sorted(dicts) == ["de", "en"] and len(dicts["en"]) > 2000  # rows without id are sampled
+    assert dicts["de"].count(b"anders geschrieben") == 1 and len(dicts["de"]) <= langid.DICT_BYTES  # long texts leave room for short ones
+    assert langid.shared_room([b"aaaaaa", b"b", b"cccccc"], 9) == b"aaaabcccc"
+    none = langid.accepted(df.limit(0).unionByName(spark.createDataFrame([(1, "words", None), (2, "12 !", None), (3, None, None)], df.schema)), {})
+    assert [r["doc_id"] for r in none.collect()] == [1]
+    assert langid.accepted(df.limit(0), dicts).count() == 0
+
+
+def test_narrow_lead_of_a_long_text(spark):
+    enc = langid.Encoders({"aa": b"the reand thation of " * 50, "bb": b"the reand thation of " * 50 + b"der und einheit schlich "})
+    k, lead = enc.best(memoryview(b"der und einheit schlich " * 3000), 1.0)
+    assert 0 <= lead <= 1 and len(enc.added(memoryview(b"x y " * 20_000))) == 2
+
+
 def test_mixing_equals_sql(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     con = duckdb.connect()

@@ -40,21 +40,24 @@ def letters(texts: pa.Array) -> pa.Array:
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
-        sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES, dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
-    """A dictionary for every language of the rows with text and language.
-
-    Which rows are sampled depends on a hash of their id alone. Rows are
-    thinned to a few times ``sample_rows`` by that hash before anything is
-    shuffled, so no language, however frequent, meets in one task; the driver
-    receives at most MAX_LANGS x sample_rows texts of sample_bytes each, in
-    practice as many as fill the dictionaries.
+        sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES, dict_bytes: int = DICT_BYTES,
+        max_langs: int = MAX_LANGS) -> dict[str, bytes]:
+    """A dictionary for every language of the rows with text and language (the ``max_langs`` most frequent).
+
+    Which rows are sampled depends on a hash of id and text, so rows that
+    share an id, or have none, are sampled like others. Rows are thinned to a
+    few times ``sample_rows`` by that hash before anything is shuffled, so no
+    language, however frequent, meets in one task; the driver receives at most
+    max_langs x sample_rows texts of sample_bytes each. Every distinct sampled
+    text gets the same room in its language's dictionary; what short ones
+    leave goes to the others.
     """
     rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     counts = {r[0]: r[1] for r in rows.groupBy(F.col(lang_col).cast("string")).count()
-              .orderBy(F.desc("count"), lang_col).limit(MAX_LANGS).collect()}
+              .orderBy(F.desc("count"), lang_col).limit(max_langs).collect()}
     if not counts:
         return {}
-    place = F.pmod(F.xxhash64(F.lit("langid"), F.col(id_col)), F.lit(1 << 30))
+    place = F.pmod(F.xxhash64(F.lit("langid"), F.col(id_col), F.col(text_col)), F.lit(1 << 30))
     shares = {k: min(1 << 30, int((1 << 30) * 4 * sample_rows / n) + 1) for k, n in counts.items()}
     spark = labelled.sparkSession
     share = spark.createDataFrame([(k, v) for k, v in shares.items()], "__lang string, __share long")
@@ -66,20 +69,30 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
               .select("__lang", "__n", "__text").collect())
     out: dict[str, bytes] = {}
     for lang in sorted({r[0] for r in sample}):
-        texts = [r[2] for r in sorted((r for r in sample if r[0] == lang), key=lambda r: r[1])]
-        joined = "".join(letters(pa.array(texts, pa.string())).to_pylist()).encode()[:dict_bytes]
+        texts = dict.fromkeys(r[2] for r in sorted((r for r in sample if r[0] == lang), key=lambda r: r[1]))
+        joined = shared_room([t.encode() for t in letters(pa.array(list(texts), pa.string())).to_pylist()], dict_bytes)
         if joined.strip():
             out[lang] = joined
     return out
 
 
+def shared_room(texts: list[bytes], room: int) -> bytes:
+    """The starts of all texts, in order, of equal length where they are long enough, together at most ``room`` bytes."""
+    length = [0] * len(texts)
+    for done, k in enumerate(sorted(range(len(texts)), key=lambda k: len(texts[k]))):
+        length[k] = min(len(texts[k]), room // (len(texts) - done))
+        room -= length[k]
+    return b"".join(t[:n] for t, n in zip(texts, length, strict=True))
+
+
 class Encoders:
     """The dictionaries' encoders, in alphabetical order of the languages.
 
     A text of a few words is too short to be encoded smaller at all. Where
-    the sizes leave a narrow lead, a text of one block is encoded once more
+    the sizes leave a narrow lead, the blocks of the text are encoded once more
     behind short passages of each dictionary, at the highest effort, and what
-    it adds to them is summed.
+    they add to them is summed: a text of one block behind every passage,
+    the blocks of a longer one behind as many in turn as make up that number.
     """
 
     def __init__(self, dicts: dict[str, bytes]):
@@ -102,15 +115,18 @@ class Encoders:
         cuts = [text[i:i + BLOCK_BYTES] for i in range(0, len(text), BLOCK_BYTES)]
         return [sum(len(e.compress(c)) for c in cuts) for e in self.first]
 
-    def added(self, text: bytes) -> list[int]:
-        """Bytes that a short text adds to passages of each dictionary."""
+    def added(self, text: memoryview) -> list[int]:
+        """Bytes that the blocks of a text add to passages of each dictionary."""
         if not self.close:
             for raw in self.dicts.values():
                 e = self._make(raw, CLOSE_LEVEL, min_match=3)
                 step = max(1, len(raw) // PASSAGES)
                 parts = [raw[i * step:i * step + PASSAGE_BYTES] for i in range(PASSAGES)]
-                self.close.append((e, parts, sum(len(e.compress(x)) for x in parts)))
-        return [sum(len(e.compress(x + b" " + text)) for x in parts) - base for e, parts, base in self.close]
+                self.close.append((e, [(x + b" ", len(e.compress(x))) for x in parts]))
+        cuts = [bytes(text[i:i + BLOCK_BYTES]) for i in range(0, len(text), BLOCK_BYTES)]
+        turns = -(-PASSAGES // len(cuts))
+        pairs = [(c, (k * turns + j) % PASSAGES) for k, c in enumerate(cuts) for j in range(turns)]
+        return [sum(len(e.compress(parts[j][0] + c)) - parts[j][1] for c, j in pairs) for e, parts in self.close]
 
     def best(self, text: memoryview, min_margin: float) -> tuple[int, float]:
         """(which language, its lead over the second); (-1, 0) for a text without letters or without languages."""
@@ -119,8 +135,8 @@ class Encoders:
         if len(self.names) == 1:
             return 0, 1.0
         found = _lead(self.sizes(text))
-        if found[1] < min_margin and len(text) <= BLOCK_BYTES:
-            found = _lead(self.added(bytes(text)))
+        if found[1] < min_margin:
+            found = _lead(self.added(text))
         return found
 
 
@@ -168,7 +184,11 @@ def query(docs: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, dicts: dict[str, bytes], text_col: str = "text", min_margin: float = MIN_MARGIN) -> DataFrame:
-    """The rows of ``docs`` whose language is not rejected, all columns unchanged, in one pass without a shuffle."""
+    """The rows of ``docs`` whose language is not rejected, all columns unchanged, in one pass without a shuffle.
+
+    Null and empty texts and those without a letter go. Where no language was
+    learned nothing can be rejected: every text with a letter stays.
+    """
     names = docs.columns
     at = names.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(dicts)
@@ -178,7 +198,8 @@ def accepted(docs: DataFrame, dicts: dict[str, bytes], text_col: str = "text", m
         for piece in pieces(batches, at):
             offsets, raw = text_buffers(letters(piece.column(at)))
             view = memoryview(raw)
-            mask = [encoders.best(view[a:b], min_margin)[1] >= min_margin for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            each = [view[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            mask = [encoders.best(t, min_margin)[1] >= min_margin if encoders.names else bytes(t) not in (b"", b" ") for t in each]
             yield piece.filter(pa.array(mask, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
