@@ -5,7 +5,7 @@ Lags come from a window per series; one Gram aggregation over
 conditional least squares on a common sample makes each candidate a
 sub-block of the same sums. Each series picks its order (p in 0..P, with or
 without the seasonal lag S) by AICc, then forecasts recursively from its
-last S values.
+last S values. A series too short for a complete lag row is forecast by its mean.
 
 ``fc_arima`` adds moving-average terms by the Hannan-Rissanen two-stage
 method, still as aggregations: a long autoregression per series (one Gram
@@ -32,10 +32,44 @@ def candidates(p_max: int) -> list[tuple[int, bool]]:
     return list(itertools.product(range(p_max + 1), (False, True)))
 
 
-def aicc(sse: float, n: int, k: int) -> float:
-    if n - k - 1 <= 0 or sse <= 0:
-        return np.inf if sse > 0 else -np.inf
-    return n * np.log(sse / n) + 2 * k + 2 * k * (k + 1) / (n - k - 1)
+def choose(xtx: np.ndarray, xty: np.ndarray, yty: np.ndarray, n: np.ndarray, candidates: list[list[int]]) -> np.ndarray:
+    """Coefficients (series, k) of the candidate columns of least AICc, zero elsewhere; each candidate is solved for all series at once."""
+    best, coefs = np.full(len(xtx), np.nan), np.zeros(xty.shape)
+    for idx in candidates:
+        a, c = xtx[:, idx][:, :, idx], xty[:, idx]
+        beta = np.einsum("bij,bj->bi", np.linalg.pinv(a, rcond=1e-10, hermitian=True), c)
+        sse = np.maximum(yty - 2 * np.einsum("bi,bi->b", beta, c) + np.einsum("bi,bij,bj->b", beta, a, beta), 0.0)
+        k = len(idx) + 1
+        room = n - k - 1
+        score = np.where(sse > 0, n * np.log(np.where(sse > 0, sse, 1) / np.maximum(n, 1)) + 2 * k + 2 * k * (k + 1) / np.where(room > 0, room, 1), -np.inf)
+        score = np.where(room > 0, score, np.where(sse > 0, np.inf, -np.inf))
+        better = np.isnan(best) | (score < best)
+        best[better] = score[better]
+        coefs[better] = 0
+        coefs[np.ix_(better, idx)] = beta[better]
+    return coefs
+
+
+def _blocks(pdf: pd.DataFrame, k: int) -> tuple[np.ndarray, ...]:
+    """Gram blocks of a batch; series without a complete lag row have zeros, so that only their mean is left to forecast."""
+    none = pdf["n"].isna().to_numpy()
+    fill = lambda name, size: np.stack([np.zeros(size) if x is None or np.ndim(x) == 0 else np.asarray(x, float) for x in pdf[name]])
+    return gram.unpack(fill("xtx", k * (k + 1) // 2), k), fill("xty", k), pdf["yty"].fillna(0).to_numpy(float), pdf["n"].fillna(0).to_numpy(float), none
+
+
+def _histories(tails, size: int, field: str) -> np.ndarray:
+    """The last ``size`` values of each series, oldest first, zeros before the first."""
+    out = np.zeros((len(tails), size))
+    for b, tail in enumerate(tails):
+        values = [r[field] if r[field] is not None else 0.0 for r in tail]
+        out[b, size - len(values):] = values
+    return out
+
+
+def _rows(pdf: pd.DataFrame, key: str, name: str, mean: np.ndarray) -> pd.DataFrame:
+    h = mean.shape[1]
+    return pd.DataFrame({key: np.repeat(pdf[key].to_numpy(), h), "date": [last + pd.Timedelta(days=t) for last in pdf["last_date"] for t in range(1, h + 1)],
+                         "model": name, "mean": mean.ravel()})
 
 
 def lagged(train: DataFrame, key: str, date: str, y: str, p_max: int, season: int) -> DataFrame:
@@ -56,9 +90,9 @@ def fc_ar(train: DataFrame, key: str = "item_id", date: str = "date", y: str = "
             .filter(F.col("rn") <= season)
             .groupBy(key).agg(F.max(date).alias("last_date"),
                               F.sort_array(F.collect_list(F.struct(date, "v"))).alias("tail")))
-    model_in = sums.join(tail, key)
+    model_in = tail.join(sums, key, "left")
     k_full = len(lx) + 1
-    cands = candidates(p_max)
+    cands = [[0, *range(1, p + 1), *([k_full - 1] if seas else [])] for p, seas in candidates(p_max)]
     schema = T.StructType([model_in.schema[key], T.StructField("date", T.DateType()),
                            T.StructField("model", T.StringType()), T.StructField("mean", T.DoubleType())])
 
@@ -66,31 +100,16 @@ def fc_ar(train: DataFrame, key: str = "item_id", date: str = "date", y: str = "
         for pdf in batches:
             if pdf.empty:
                 continue
-            xtx_all = gram.unpack(np.stack(pdf["xtx"].to_numpy()).astype(float), k_full)
-            xty_all = np.stack(pdf["xty"].to_numpy()).astype(float)
-            rows = []
-            for b in range(len(pdf)):
-                n, yty = int(pdf["n"].iloc[b]), float(pdf["yty"].iloc[b])
-                best, best_beta, best_idx = np.inf, None, None
-                for p, seas in cands:
-                    idx = [0] + list(range(1, p + 1)) + ([k_full - 1] if seas else [])
-                    A = xtx_all[b][np.ix_(idx, idx)]
-                    c = xty_all[b][idx]
-                    beta = np.linalg.pinv(A, rcond=1e-10, hermitian=True) @ c
-                    sse = max(yty - 2 * beta @ c + beta @ A @ beta, 0.0)
-                    score = aicc(sse, n, len(idx) + 1)
-                    if score < best or best_beta is None:
-                        best, best_beta, best_idx = score, beta, idx
-                full = np.zeros(k_full)
-                full[best_idx] = best_beta
-                hist = [float(s["v"]) for s in pdf["tail"].iloc[b]]
-                last = pdf["last_date"].iloc[b]
-                for step in range(1, h + 1):
-                    x = [1.0] + [hist[-i] for i in range(1, p_max + 1)] + [hist[-season]]
-                    val = float(np.dot(full, x))
-                    hist.append(val)
-                    rows.append((pdf[key].iloc[b], last + pd.Timedelta(days=step), name, val))
-            yield pd.DataFrame(rows, columns=[key, "date", "model", "mean"])
+            xtx, xty, yty, n, none = _blocks(pdf, k_full)
+            coefs = choose(xtx, xty, yty, n, cands)
+            coefs[none, 0] = [np.mean([r["v"] for r in t]) for t in pdf["tail"][none]]  # all of a short series is in its tail
+            hist = _histories(pdf["tail"], max(season, p_max), "v")
+            mean = np.zeros((len(pdf), h))
+            for step in range(h):
+                x = np.concatenate([np.ones((len(pdf), 1)), hist[:, ::-1][:, :p_max], hist[:, -season][:, None]], 1)
+                mean[:, step] = (coefs * x).sum(1)
+                hist = np.concatenate([hist[:, 1:], mean[:, step:step + 1]], 1)
+            yield _rows(pdf, key, name, mean)
 
     return model_in.mapInPandas(run, schema)
 
@@ -107,23 +126,24 @@ def fc_arima(train: DataFrame, key: str = "item_id", date: str = "date", y: str
                         *[F.lag(y, i).over(w).cast("double").alias(c) for i, c in enumerate(l1, 1)])
     full = base.filter(F.col(l1[-1]).isNotNull())
     coef = gram.ols(gram.gram_sums(full, key, l1, "y"), key, m + 1).select(key, F.col("beta").alias("_b"))
-    resid = full.join(coef, key).select(key, date, "y", (F.col("y") - gram.dot("_b", l1)).alias("e"))
+    resid = base.join(coef, key, "left").select(key, date, "y", (F.col("y") - gram.dot("_b", l1)).alias("e"))
     # stage 2: regress y on its own lags, the seasonal lag and lagged residuals (common sample)
     ylags = [F.lag("y", i).over(w).alias(f"_l{i}") for i in range(1, p_max + 1)]
     elags = [F.lag("e", j).over(w).alias(f"_e{j}") for j in range(1, q_max + 1)]
     lg = resid.select(key, date, "y", "e", *ylags, F.lag("y", season).over(w).alias("_ls"), *elags)
     xs = [f"_l{i}" for i in range(1, p_max + 1)] + ["_ls"] + [f"_e{j}" for j in range(1, q_max + 1)]
-    sums = gram.gram_sums(lg.filter(F.col("_ls").isNotNull() & F.col(xs[-1]).isNotNull()), key, xs, "y")
+    complete = [F.col(c).isNotNull() for c in ("y", "_ls", xs[-1])]
+    sums = gram.gram_sums(lg.filter(complete[0] & complete[1] & complete[2]), key, xs, "y")
     # last `season` observations and last q residuals per series (bounded per series)
     keep = max(season, p_max, q_max)
     wd = Window.partitionBy(key).orderBy(F.col(date).desc())
+    recent = F.when(F.col("rn") <= keep, F.struct(date, "y", "e"))
     tail = (resid.select(key, date, "y", "e", F.row_number().over(wd).alias("rn"))
-            .filter(F.col("rn") <= keep)
-            .groupBy(key).agg(F.max(date).alias("last_date"),
-                              F.sort_array(F.collect_list(F.struct(date, "y", "e"))).alias("tail")))
-    model_in = sums.join(tail, key)
+            .groupBy(key).agg(F.max(date).alias("last_date"), F.avg("y").alias("_mean"), F.sort_array(F.collect_list(recent)).alias("tail")))
+    model_in = tail.join(sums, key, "left")
     k_full = len(xs) + 1
-    cands = list(itertools.product(range(p_max + 1), (False, True), range(q_max + 1)))
+    cands = [[0, *range(1, p + 1), *([p_max + 1] if seas else []), *range(p_max + 2, p_max + 2 + q)]
+             for p, seas, q in itertools.product(range(p_max + 1), (False, True), range(q_max + 1))]
     schema = T.StructType([model_in.schema[key], T.StructField("date", T.DateType()),
                            T.StructField("model", T.StringType()), T.StructField("mean", T.DoubleType())])
 
@@ -131,34 +151,16 @@ def fc_arima(train: DataFrame, key: str = "item_id", date: str = "date", y: str
         for pdf in batches:
             if pdf.empty:
                 continue
-            xtx_all = gram.unpack(np.stack(pdf["xtx"].to_numpy()).astype(float), k_full)
-            xty_all = np.stack(pdf["xty"].to_numpy()).astype(float)
-            rows = []
-            for b in range(len(pdf)):
-                n, yty = int(pdf["n"].iloc[b]), float(pdf["yty"].iloc[b])
-                best, best_beta, best_idx = np.inf, None, None
-                for p, seas, q in cands:
-                    idx = ([0] + list(range(1, p + 1)) + ([p_max + 1] if seas else [])
-                           + list(range(p_max + 2, p_max + 2 + q)))
-                    A = xtx_all[b][np.ix_(idx, idx)]
-                    c = xty_all[b][idx]
-                    beta = np.linalg.pinv(A, rcond=1e-10, hermitian=True) @ c
-                    sse = max(yty - 2 * beta @ c + beta @ A @ beta, 0.0)
-                    score = aicc(sse, n, len(idx) + 1)
-                    if score < best or best_beta is None:
-                        best, best_beta, best_idx = score, beta, idx
-                coefs = np.zeros(k_full)
-                coefs[best_idx] = best_beta
-                hist = [float(r["y"]) for r in pdf["tail"].iloc[b]]
-                shocks = [float(r["e"]) for r in pdf["tail"].iloc[b]]
-                last = pdf["last_date"].iloc[b]
-                for step in range(1, h + 1):
-                    x = ([1.0] + [hist[-i] for i in range(1, p_max + 1)] + [hist[-season]]
-                         + [shocks[-j] for j in range(1, q_max + 1)])
-                    val = float(np.dot(coefs, x))
-                    hist.append(val)
-                    shocks.append(0.0)
-                    rows.append((pdf[key].iloc[b], last + pd.Timedelta(days=step), name, val))
-            yield pd.DataFrame(rows, columns=[key, "date", "model", "mean"])
+            xtx, xty, yty, n, none = _blocks(pdf, k_full)
+            coefs = choose(xtx, xty, yty, n, cands)
+            coefs[none, 0] = pdf["_mean"][none].to_numpy(float)
+            hist, shocks = _histories(pdf["tail"], keep, "y"), _histories(pdf["tail"], keep, "e")
+            mean = np.zeros((len(pdf), h))
+            for step in range(h):
+                x = np.concatenate([np.ones((len(pdf), 1)), hist[:, ::-1][:, :p_max], hist[:, -season][:, None], shocks[:, ::-1][:, :q_max]], 1)
+                mean[:, step] = (coefs * x).sum(1)
+                hist = np.concatenate([hist[:, 1:], mean[:, step:step + 1]], 1)
+                shocks = np.concatenate([shocks[:, 1:], np.zeros((len(pdf), 1))], 1)
+            yield _rows(pdf, key, name, mean)
 
     return model_in.mapInPandas(run, schema)

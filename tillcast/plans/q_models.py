@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillcast.operators import reshape
-from tillcast.operators.forecast import ar, decomposable, dynreg, gram, naive, regressors, smoothing
+from tillcast.operators.forecast import ar, decomposable, dynreg, gram, naive, regressors, sarima, smoothing
 from tillcast.plans.oracle import with_panel
 from tillcast.plans.q_features import _FFILL
 from tillcast.plans.q_forecast import FAMILY_CTES
@@ -98,9 +98,16 @@ def fc_ar(spark, sf_dir):
     return ar.fc_ar(SalesPanel(spark, sf_dir).train())
 
 
+@query("fc_arma")
+def fc_arma(spark, sf_dir):
+    """Moving-average terms by two Gram aggregations, no differences."""
+    return ar.fc_arima(SalesPanel(spark, sf_dir).train(), name="arma")
+
+
 @query("fc_arima")
 def fc_arima(spark, sf_dir):
-    return ar.fc_arima(SalesPanel(spark, sf_dir).train())
+    """Differences, orders and coefficients chosen per series, by exact likelihood."""
+    return sarima.fc_arima(SalesPanel(spark, sf_dir).train())
 
 
 def _dynreg_query(name, xcols):
