@@ -208,7 +208,8 @@ def least_squares(residuals, w: np.ndarray, theta: np.ndarray, order: Order, sea
         new = theta + step
         new[:, :free] = np.clip(new[:, :free], -4, 4)
         s = residuals(w, new, order, season)
-        sse = (s * s).sum(1)
+        with np.errstate(over="ignore", invalid="ignore"):  # a step too far is not taken
+            sse = (s * s).sum(1)
         better = np.isfinite(sse) & (sse < best)
         gain = np.where(better, best - sse, 0).max() / max(best.max(), 1e-300)
         theta, r, best = np.where(better[:, None], new, theta), np.where(better[:, None], s, r), np.where(better, sse, best)

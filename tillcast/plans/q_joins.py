@@ -49,13 +49,13 @@ def flag_first_date(spark, sf_dir):
 
 
 _LAST_PRICE = """
-last_price AS MATERIALIZED (SELECT item_id, arg_max(sell_price, date) AS last_price FROM enriched
-               WHERE sell_price IS NOT NULL AND date <= (SELECT hi - 28 FROM bounds) GROUP BY item_id)"""
+last_price AS (SELECT item_id, arg_max(sell_price, wm_yr_wk) AS last_price FROM prices
+               WHERE wm_yr_wk <= (SELECT CAST(10000 + floor(date_diff('day', DATE '1994-12-31', hi - 28) / 7) AS INTEGER) FROM bounds) GROUP BY item_id)"""
 
 
 @query("attach_last_price", with_panel("""
-SELECT t.item_id, t.date, l.last_price FROM test t LEFT JOIN last_price l USING (item_id)""",
-                                       _ENRICHED.replace("enriched AS (", "enriched AS MATERIALIZED (") + "," + _LAST_PRICE))
+SELECT i.item_id, s.date, l.last_price FROM items i CROSS JOIN spine s LEFT JOIN last_price l USING (item_id)
+WHERE s.date >= (SELECT hi - 27 FROM bounds)""", _LAST_PRICE))
 def attach_last_price(spark, sf_dir):
     p = SalesPanel(spark, sf_dir)
     e = enriched(p).filter((F.col("date") <= p.train_end()) & F.col("sell_price").isNotNull())
