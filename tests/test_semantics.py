@@ -332,3 +332,22 @@ def test_poisson_deviance_of_every_round(spark):
     y, m = np.array([r.y for r in held]), np.array([r.prediction for r in held])
     want = (2 * (np.where(y > 0, y * (np.log(np.maximum(y, 1e-9)) - np.log(m)), 0) - y + m)).sum()
     assert errors[-1][3] == pytest.approx(want) and errors[0][3] > errors[1][3] and len(errors) == 6
+
+
+def test_bootstrap_interval_against_brute_force(spark):
+    import hashlib
+
+    from tillcast.operators import explore
+
+    rng = np.random.default_rng(6)
+    rows = [(int(k), f"g{k % 3}", None if k == 4 else float(rng.integers(0, 50))) for k in range(90)] + [(90, "one", 7.0), (91, "none", None)]
+    got = {r["g"]: r for r in explore.bootstrap_ci(spark.createDataFrame(rows, "k long, g string, y double").repartition(3), ["g"], "y", ["k"], 20).collect()}
+    assert set(got) == {"g0", "g1", "g2", "one"}
+    cdf = np.array(explore.poisson_one())
+    for g in ("g0", "g1", "g2", "one"):
+        own = [(k, y) for k, h, y in rows if h == g and y is not None]
+        w = np.array([[(cdf <= int(hashlib.md5(f"0|{k}|{b}".encode()).hexdigest()[:13], 16) / 2 ** 52).sum() for b in range(1, 21)] for k, _ in own])
+        y = np.array([v for _, v in own])
+        means = [(w[:, b] * y).sum() / w[:, b].sum() for b in range(20) if w[:, b].sum()]
+        assert got[g]["n"] == len(own) and got[g]["mean"] == pytest.approx(y.mean())
+        assert [got[g]["ci_low"], got[g]["ci_high"]] == pytest.approx(list(np.quantile(means, [0.025, 0.975])))

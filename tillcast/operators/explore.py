@@ -7,6 +7,8 @@ shuffle); "one row per column" profiles are a single ``agg`` then
 
 from __future__ import annotations
 
+import math
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -126,3 +128,48 @@ def acf(series: DataFrame, t: str, y: str, max_lag: int) -> DataFrame:
            .when(F.col("k") == 1, F.lit(1.0) / n)
            .otherwise((1 + 2 * prior) / n))
     return r.select("k", "acf", (F.lit(Z95) * F.sqrt(var)).alias("band"))
+
+
+#: Terms of the tabulated Poisson distribution of mean one: beyond 17 it has less than 2^-52.
+POISSON_TERMS = 18
+
+
+def poisson_one() -> list[float]:
+    """P(X <= k) of a Poisson distribution of mean one."""
+    term, out = math.exp(-1.0), [math.exp(-1.0)]
+    for k in range(1, POISSON_TERMS):
+        term /= k
+        out.append(out[-1] + term)
+    return out
+
+
+def bootstrap_ci(df: DataFrame, by: list[str], y: str, row_key: list[str], replicates: int = 200, seed: int = 0, level: float = 0.95) -> DataFrame:
+    """by..., mean, ci_low, ci_high, n: bootstrap interval of the mean (A21), as the charts draw it.
+
+    Every row weighs a Poisson(1) number in each replicate, drawn from a hash
+    of ``row_key`` and the replicate, so partial sums merge and no row is
+    copied or exploded: a group's state is one sum and one weight for each
+    replicate. Null values take no part; replicates of weight zero neither.
+    """
+    cdf = poisson_one()
+    key = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in row_key])
+
+    def weight(b):
+        u = F.conv(F.substring(F.md5(F.concat_ws("|", key, b.cast("string"))), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
+        return F.size(F.filter(F.array(*map(F.lit, cdf)), lambda c: c <= u))
+
+    rows = df.where(F.col(y).isNotNull()).select(*by, F.col(y).cast("double").alias("_y"), F.transform(F.sequence(F.lit(1), F.lit(replicates)), weight).alias("_w"))
+    state = rows.groupBy(*by).agg(
+        F.avg("_y").alias("mean"), F.count("*").alias("n"),
+        F.array(*[F.sum(F.get("_w", F.lit(b)) * F.col("_y")) for b in range(replicates)]).alias("_s"),
+        F.array(*[F.sum(F.get("_w", F.lit(b))) for b in range(replicates)]).alias("_k"))
+    means = F.filter(F.zip_with("_s", "_k", lambda a, k: F.when(k > 0, a / k)), lambda m: m.isNotNull())
+    sorted_ = state.withColumn("_m", F.sort_array(means))
+
+    def quantile(q):
+        at = F.lit(q) * (F.size("_m") - 1)
+        low = F.floor(at).cast("int")
+        a, b = F.get("_m", low), F.get("_m", F.least(low + 1, F.size("_m") - 1))
+        return a + (b - a) * (at - low)
+    tail = (1 - level) / 2
+    return sorted_.select(*by, "mean", quantile(tail).alias("ci_low"), quantile(1 - tail).alias("ci_high"), "n")

@@ -236,6 +236,25 @@ def mean_ci(spark, sf_dir):
     return _r6(explore.mean_ci(daily, ["weekday"], "total"), "mean", "ci_low", "ci_high")
 
 
+BOOTSTRAP = 200
+
+
+@query("mean_ci_bootstrap", with_panel(f"""
+SELECT weekday, round(any_value(mean), 6) AS mean, round(quantile_cont(m, 0.025), 6) AS ci_low, round(quantile_cont(m, 0.975), 6) AS ci_high, any_value(n) AS n
+FROM (SELECT weekday, any_value(mean) AS mean, any_value(n) AS n, sum(w * total) / nullif(sum(w), 0) AS m
+      FROM (SELECT d.*, b, len(list_filter({explore.poisson_one()!r}, lambda c: c <= ('0x' || md5('0|' || strftime(date, '%Y-%m-%d') || '|' || b)[1:13])::BIGINT / {float(1 << 52)!r})) AS w
+            FROM (SELECT *, avg(total) OVER (PARTITION BY weekday) AS mean, count(*) OVER (PARTITION BY weekday) AS n FROM (
+                    SELECT s.date, c.weekday, sum(s.sales_amount) AS total FROM sales s JOIN calendar c USING (date) GROUP BY 1, 2)) d,
+                 range(1, {BOOTSTRAP + 1}) t(b))
+      GROUP BY weekday, b)
+GROUP BY weekday"""))
+def mean_ci_bootstrap(spark, sf_dir):
+    p = SalesPanel(spark, sf_dir)
+    daily = (enrich.with_calendar(p.sales(), p.calendar())
+             .groupBy("date", "weekday").agg(F.sum("sales_amount").alias("total")))
+    return _r6(explore.bootstrap_ci(daily, ["weekday"], "total", ["date"], BOOTSTRAP), "mean", "ci_low", "ci_high")
+
+
 @query("count_histogram", with_panel("""
 SELECT bin, round(lo + bin * step, 6) AS bin_low, round(lo + (bin + 1) * step, 6) AS bin_high, count(*) AS count
 FROM (SELECT LEAST(CAST(floor((x - lo) / step) AS INTEGER), nb - 1) AS bin, lo, step
