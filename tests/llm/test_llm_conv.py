@@ -55,7 +55,7 @@ def test_trie_against_brute_force(spark, kw):
         for t in range(rng.choice([0, 1, 1, 2, 3, 4, 6])):
             rows.append((c, rng.choice([t, t, t, None]), rng.choice(["user", "assistant", None]), rng.choice(["a b", "a  b\tc", "", None, "é x"])))
     rows += [(1000 + k, t, "user", "copy of one") for k in range(60) for t in range(5)]  # a hot conversation
-    rows += [(5000, t, "user", f"long {t % 7}") for t in range(300)]
+    rows += [(5000, t, "user", f"long {t % 7}") for t in range(120)]
     rows += [(None, 0, "user", "nobody"), (7, 3, "user", "twice"), (7, 3, "user", "twice")]
     got = sorted((tuple(r) for r in conv_trie.prefix_trie(table(spark, rows), **kw).collect()), key=str)
     assert got == brute_trie(rows)

@@ -66,7 +66,7 @@ def corpus(seed=3):
              lambda: "ghp" + pick(string.ascii_letters + string.digits, 36) if rng.random() < 0.3 else "none", lambda: "secret:token:abcdefghij", lambda: "Token = 'abc.def-ghi'", lambda: "xAKIAAKIA" + pick("AKI", 9)]
     texts = [" ".join(rng.choice(kinds)() if rng.random() < 0.2 else rng.choice([word, identifier])() for _ in range(rng.choice([0, 1, 5, 40, 90]))) for _ in range(150)]
     texts += [None, "", " ", "é" * 50 + "password=abcdefgh", "ſecret=abcdefghijk passworD:abcdefghi", "toKen=12345678\n" * 300, texts[3], texts[3]]
-    texts.append("".join(f"{pick(string.ascii_lowercase, 3)} {pick('0123456789abcdef', 33)} " for _ in range(5000)))  # a long text with many matches
+    texts.append("".join(f"{pick(string.ascii_lowercase, 3)} {pick('0123456789abcdef', 33)} " for _ in range(1200)))  # a long text with many matches
     return texts
 
 
