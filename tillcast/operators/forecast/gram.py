@@ -43,11 +43,11 @@ def gram_sums(df: DataFrame, key: str | Sequence[str], xcols: Sequence[str], y:
     )
 
 
-def cross_sums(df: DataFrame, key: str, xcols: Sequence[str], y: str) -> DataFrame:
-    """key, xty, yty, n (with intercept): the part of ``gram_sums`` that differs between series with one design."""
+def cross_sums(df: DataFrame, key: str, xcols: Sequence[str], y: str, *more: Column) -> DataFrame:
+    """key, xty, yty, n (with intercept) and ``more`` aggregates: the part of ``gram_sums`` that differs between series with one design."""
     yy = F.col(y).cast("double")
     return df.groupBy(key).agg(F.array(*[F.sum(x * yy) for x in _design(xcols, True)]).alias("xty"),
-                               F.sum(yy * yy).alias("yty"), F.count("*").alias("n"))
+                               F.sum(yy * yy).alias("yty"), F.count("*").alias("n"), *more)
 
 
 def unpack(tri: np.ndarray, k: int) -> np.ndarray:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillcast.operators import reshape
-from tillcast.operators.forecast import ar, decomposable, dynreg, gram, naive, regressors, sarima, smoothing
+from tillcast.operators.forecast import ar, decomposable, dynreg, ets, gram, naive, regarima, regressors, sarima, smoothing
 from tillcast.plans.oracle import with_panel
 from tillcast.plans.q_features import _FFILL
 from tillcast.plans.q_forecast import FAMILY_CTES
@@ -114,10 +114,18 @@ def _dynreg_query(name, xcols):
     def fn(spark, sf_dir):
         p = SalesPanel(spark, sf_dir)
         tr = train_reg(p)
-        return dynreg.fc_dynreg(tr, future_reg(p, tr), xcols, name)
+        return regarima.fc_regarima(tr, future_reg(p, tr), xcols, name)
     return fn
 
 
+@query("fc_dynreg_ar1")
+def fc_dynreg_ar1(spark, sf_dir):
+    """Calendar regression by Gram sums with an AR(1) error, no choice of orders."""
+    p = SalesPanel(spark, sf_dir)
+    tr = train_reg(p)
+    return dynreg.fc_dynreg(tr, future_reg(p, tr), regressors.BASE_X, "dynreg_ar1")
+
+
 query("fc_dynreg_snap")(_dynreg_query("dynreg_snap", ["snap_TX"]))
 query("fc_dynreg_calendar")(_dynreg_query("dynreg_calendar", regressors.BASE_X))
 query("fc_dynreg_lags")(_dynreg_query("dynreg_lags", regressors.BASE_X + regressors.LAG_X))
@@ -192,6 +200,13 @@ def fc_ses(spark, sf_dir):
     return smoothing.fc_ses(SalesPanel(spark, sf_dir).train())
 
 
+@query("fc_ets_grid")
+def fc_ets_grid(spark, sf_dir):
+    """Additive forms over a grid of settings."""
+    return smoothing.fc_ets_grouped(SalesPanel(spark, sf_dir).train())
+
+
 @query("fc_holt_winters")
 def fc_holt_winters(spark, sf_dir):
-    return smoothing.fc_ets_grouped(SalesPanel(spark, sf_dir).train())
+    """Error, trend, season and damping chosen per series."""
+    return ets.fc_ets(SalesPanel(spark, sf_dir).train())
