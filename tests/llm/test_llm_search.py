@@ -198,6 +198,77 @@ def test_rare_bad_branch_of_a_wide_host(spark):
     assert {got[10000 + k]["template"] for k in range(50)} == {"/*"}
 
 
+def template_tree(rows):
+    """Brute force: {(host, path): template} by recursion over the tree's nodes, rows (host, path segments, bad or None)."""
+    out = {}
+
+    def down(rows, depth, template):
+        children = {}
+        for r in rows:
+            if len(r[1]) <= depth:
+                out[(r[0], r[1])] = template
+            else:
+                children.setdefault(r[1][depth], []).append(r)
+        counts = {seg: (sum(r[2] is not None for r in own), sum(r[2] or 0 for r in own)) for seg, own in children.items()}
+        found = []
+        for share in sorted({b / n for n, b in counts.values() if n}):
+            segs = [s for s, (n, b) in counts.items() if n and b / n == share]
+            n, b = (sum(counts[s][k] for s in segs) for k in (0, 1))
+            if found:
+                n0, b0, before = found[-1]
+                rate = (b + b0) / (n + n0)
+                if abs(b / n - b0 / n0) <= url_filter.ALIKE * (rate * (1 - rate) * (1 / n + 1 / n0)) ** 0.5:
+                    found[-1] = (n + n0, b + b0, before + segs)
+                    continue
+            found.append((n, b, segs))
+        main = max(range(len(found)), key=lambda i: (found[i][0], -i)) if found else 0
+        groups = [list(f[2]) for f in found] or [[]]
+        groups[main] += [s for s, (n, _) in counts.items() if not n]
+        for i, segs in enumerate(groups):
+            name = segs[0] if len(segs) == 1 else "*" if i == main else f"*{i + 1}"
+            down([r for s in segs for r in children[s]], depth + 1, f"{template}/{name}") if segs else None
+
+    for host in {r[0] for r in rows}:
+        down([r for r in rows if r[0] == host], 0, "")
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_templates_equal_brute_force_tree(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(900):
+        segs = tuple(rng.choice("abcdefghijklmnop"[:rng.choice([3, 16])]) for _ in range(rng.randint(0, 3)))
+        odds = 0.9 if segs[:1] == ("b",) else 0.5 if segs[1:2] == ("c",) else 0.05
+        rows.append((rng.choice(["h.org", "g.org"]), segs, None if rng.random() < 0.1 else int(rng.random() < odds)))
+    urls = spark.createDataFrame([(h, "/" + "/".join(s), b) for h, s, b in rows], "host string, path string, bad int")
+    want = template_tree(rows)
+    got = {(r["host"], r["path"]): r for r in url_filter.templates(urls, 3).collect()}
+    assert {k: r["template"] for k, r in got.items()} == {(h, "/" + "/".join(s)): t for (h, s), t in want.items()}
+    for (host, path), r in got.items():
+        own = [b for h, s, b in rows if h == host and want[(h, s)] == r["template"]]
+        assert r["labelled"] == sum(b is not None for b in own) and r["bad"] == sum(b or 0 for b in own)
+
+
+def test_small_bad_siblings_are_merged_and_blocked(spark):
+    rows = [(f"http://h.net/good{a}/x", 0) for a in "abcde" for _ in range(20)] + [(f"http://h.net/bad{a}/x", 1) for a in "abcde"]
+    rows += [(f"http://w.net/page-{chr(97 + i % 26)}{chr(97 + i // 26)}", 0) for i in range(60)] + [("http://w.net/odd", 1)]
+    rows = [(k, u, b) for k, (u, b) in enumerate(rows)]
+    label = spark.createDataFrame([(k, b) for k, _, b in rows], "page_id long, bad int")
+    got = url_filter.judge(spark.createDataFrame([r[:2] for r in rows], "page_id long, url string"), rules=[], labels=label).collect()
+    verdict = {r["page_id"]: r["verdict"] for r in got}
+    assert all(verdict[k] == ("block" if "/bad" in u else "allow") for k, u, _ in rows)
+    assert len({r["template"] for r in got if r["path"].startswith("/bad")}) == 1 and len({r["template"] for r in got if r["path"].startswith("/page")}) == 1
+
+
+def test_long_paths_and_unlabelled_urls(spark):
+    rows = [(k, "http://h.net/" + "a/" * 20_000 + str(k)) for k in range(3)] + [(3, "http://h.net/" + "x" * 100_000)]
+    got = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), rules=[], labels=spark.createDataFrame([], "page_id long, bad int")).collect()
+    assert sorted(r["page_id"] for r in got) == [0, 1, 2, 3] and all(r["verdict"] == "allow" and not r["purity"] for r in got)
+
+
 def test_em_finds_accuracies():
     rng = np.random.default_rng(0)
     truth = (rng.random(20000) < 0.85).astype(int)
