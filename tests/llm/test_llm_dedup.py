@@ -194,10 +194,11 @@ def repeat_rows():
     return rows + [(1000, None), (1001, ""), (1002, "a" * 300), (1003, "ab" * 100), (1004, "é" * 90), (1004, "é" * 90), (None, rows[5][1])]
 
 
-@pytest.mark.parametrize("length, gram", [(40, 12), (20, 20), (50, 3)])
-def test_repeats(spark, length, gram):
+@pytest.mark.parametrize("length, gram, sizes", [(40, 12, {}), (20, 20, {}), (50, 3, {}), (40, 12, {"chunk_bytes": 500, "slot_chunks": 2}),
+                                                 (40, 12, {"chunk_bytes": 1, "slot_chunks": 1})])
+def test_repeats(spark, length, gram, sizes):
     rows = repeat_rows()
-    out = repeats.remove_repeats(frame(spark, rows, 7), length, gram)
+    out = repeats.remove_repeats(frame(spark, rows, 7), length, gram, **sizes)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
     got = out.select("doc_id", "n_bytes", removed, F.size("spans"), "kept").collect()
     assert sorted(((r[0], r[1], r[2], r[3], bytes(r[4])) for r in got), key=str) == brute_repeats(rows, length)

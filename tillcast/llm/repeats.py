@@ -22,8 +22,8 @@ Pass 1 uses 64-bit hashes (a collision only keeps a run in play), pass 2
 value of a chunk of text, so a passage that a third of all documents hold
 costs a row a chunk; verdicts go back to the chunks.
 
-Texts are stored once, compressed, as chunks of a table bucketed by the map
-task that read them. All passes read that table where it lies; only keys and
+Texts are stored once, compressed, as chunks of a table bucketed by slot, a
+few neighbouring chunks of one map task. All passes read that table where it lies; only keys and
 verdicts are shuffled.
 """
 
@@ -42,6 +42,8 @@ from tillcast.session import checkpoint_dir
 LENGTH, GRAM = 200, 64
 #: Bytes of text in a chunk; each chunk sends a key once.
 CHUNK_BYTES = 2 << 20
+#: Chunks of a slot, which a pass loads as one group; bits of a slot's number within its map task (beyond them the last slot takes the rest).
+SLOT_CHUNKS, SLOT_BITS = 4, 9
 
 _CHUNK = "slot int, chunk int, blob binary, sizes binary, ids array<long>"
 _GRAM = "k1 long, slot int, code long"
@@ -110,19 +112,22 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return first, which.ravel(), count
 
 
-def _store(batches):
-    from pyspark import TaskContext
-    from zstandard import ZstdCompressor
+def _store(chunk_bytes: int, slot_chunks: int):
+    def store(batches):
+        from pyspark import TaskContext
+        from zstandard import ZstdCompressor
 
-    pack = ZstdCompressor(level=3)
-    slot = TaskContext.get().partitionId()
-    for chunk, piece in enumerate(pieces(batches, 1, CHUNK_BYTES)):
-        offsets, raw = text_buffers(piece.column(1))
-        blob = pack.compress(raw[offsets[0]:offsets[-1]].tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([slot], pa.int32()), pa.array([chunk], pa.int32()), pa.array([blob], pa.binary()),
-             pa.array([np.diff(offsets).astype(np.int64).tobytes()], pa.binary()),
-             pa.array([piece.column(0).to_pylist()], pa.list_(pa.int64()))], names=["slot", "chunk", "blob", "sizes", "ids"])
+        pack = ZstdCompressor(level=3)
+        task = TaskContext.get().partitionId()
+        for chunk, piece in enumerate(pieces(batches, 1, chunk_bytes)):
+            slot = (task << SLOT_BITS) + min(chunk // slot_chunks, (1 << SLOT_BITS) - 1)
+            offsets, raw = text_buffers(piece.column(1))
+            blob = pack.compress(raw[offsets[0]:offsets[-1]].tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([slot], pa.int32()), pa.array([chunk], pa.int32()), pa.array([blob], pa.binary()),
+                 pa.array([np.diff(offsets).astype(np.int64).tobytes()], pa.binary()),
+                 pa.array([piece.column(0).to_pylist()], pa.list_(pa.int64()))], names=["slot", "chunk", "blob", "sizes", "ids"])
+    return store
 
 
 def _load(blob: bytes, sizes: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -227,11 +232,17 @@ def _chunks(stored: pa.Table, verdicts: pa.Table | None, passes: int, length: in
     """The chunks of a slot, taken through the first ``passes`` passes."""
     if verdicts is not None:
         level, code = verdicts.column("level").to_numpy(), verdicts.column("code").to_numpy()
-        flags = [verdicts.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("mixed", "chosen")]
+        order = np.lexsort((code, level))
+        level, code = level[order], code[order]
+        flags = [verdicts.column(c).to_numpy(zero_copy_only=False).astype(bool)[order] for c in ("mixed", "chosen")]
+        part = np.searchsorted(level, np.arange(1, 5))  # where each level starts
     for row, (number, blob, sizes) in enumerate(zip(*(stored.column(c).to_pylist() for c in ("chunk", "blob", "sizes")), strict=True)):
         c = Chunk(blob, sizes, length, gram)
         if passes and len(c.first):
-            mine = [np.flatnonzero((level == k) & (code >> 32 == number)) for k in (1, 2, 3)]
+            mine = []
+            for k in range(3):
+                low, high = np.searchsorted(code[part[k]:part[k + 1]], [number << 32, (number + 1) << 32]) + part[k]
+                mine.append(slice(low, high))
             own = [code[m] & 0xFFFFFFFF for m in mine]
             c.after_grams(own[0])
             if passes > 1:
@@ -322,18 +333,19 @@ def _cut(length: int, gram: int):
     return cut
 
 
-def _stored(src: DataFrame) -> DataFrame:
+def _stored(src: DataFrame, chunk_bytes: int, slot_chunks: int) -> DataFrame:
     """The chunks as a table bucketed by slot, in the shared folder: passes read a slot where it lies, without an exchange."""
     spark = src.sparkSession
     prepare(spark)
     name = f"tillcast_chunks_{uuid.uuid4().hex}"
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
-    (src.mapInArrow(_store, _CHUNK).write.format("parquet").option("compression", "none").bucketBy(shuffle_parts(spark), "slot")
+    (src.mapInArrow(_store(chunk_bytes, slot_chunks), _CHUNK).write.format("parquet").option("compression", "none").bucketBy(shuffle_parts(spark), "slot")
      .option("path", path).saveAsTable(name))
     return spark.table(name)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
+                   chunk_bytes: int = CHUNK_BYTES, slot_chunks: int = SLOT_CHUNKS) -> DataFrame:
     """(doc_id, n_bytes, spans, kept), one row per row: the removed byte ranges and the bytes that stay.
 
     Null counts as empty; a text shorter than ``length`` holds no window.
@@ -343,7 +355,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     if not 1 <= gram <= length:
         raise ValueError("gram must be between 1 and length")
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    stored = _stored(src)
+    stored = _stored(src, chunk_bytes, slot_chunks)
     lean = stored.select("slot", "chunk", "blob", "sizes")
     no = F.lit(False)
 
